@@ -7,9 +7,8 @@ collects more than one summary row to the driver.
 Lineage and retries: the load job stages its de-duplicated rows as Parquet
 under ``spark.checkpoint.dir`` (shared storage), gates on the staged copy and
 appends from it, so the shuffle runs once and a lost executor never forces a
-recompute of the de-duplication. The extract job's gate reads only the two
-columns it tests, with the city filter pushed to the source, before the one
-full pass that writes.
+recompute of the de-duplication. The extract job keeps the city's rows
+(persisted) for its gate, count and write, so its source is read once.
 """
 
 from __future__ import annotations
@@ -30,6 +29,7 @@ from ..session import scratch_path
 from ..sinks.files import write_parquet, write_parquet_by_month
 from ..sinks.tables import append_table, create_table_if_missing, publish_table
 from .params import check_table_name
+from .reuse import persisted
 
 
 @dataclass
@@ -82,15 +82,28 @@ def city_rows(orders: DataFrame, city: str = EXTRACT_CITY) -> DataFrame:
 
 
 def extract_city(
-    spark: SparkSession, orders: DataFrame, output_path: str, city: str = EXTRACT_CITY
+    spark: SparkSession,
+    orders: DataFrame,
+    output_path: str,
+    city: str = EXTRACT_CITY,
+    keep: bool = True,
 ) -> JobResult:
     """One city's orders to Parquet partitioned by month (static overwrite).
 
-    The month gate needs only ``city`` and ``updated_at``, so it is a cheap
-    pruned pass; any NULL month refuses the write. An empty extract writes
-    nothing, since an empty partitioned write leaves no readable dataset.
+    Any NULL month refuses the write. An empty extract writes nothing, since
+    an empty partitioned write leaves no readable dataset. With ``keep`` (C1)
+    the city's rows are persisted for the gate and the write, so the source
+    (a JDBC query, or an expensive plan) is read once; without it the gate is
+    a second, pruned pass that reads only ``city`` and ``updated_at``.
     """
     rows = city_rows(orders, city)
+    if not keep:
+        return _extract(rows, output_path)
+    with persisted(rows) as kept:
+        return _extract(kept, output_path)
+
+
+def _extract(rows: DataFrame, output_path: str) -> JobResult:
     report = gate_month(rows.select("month"))
     if report["row_count"] == 0:
         return JobResult("empty", 0, output_path, {"report": report})

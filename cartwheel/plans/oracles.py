@@ -117,11 +117,16 @@ def _sql_list(values) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
 
+_STREAMS = (
+    "customer_id", "order_date", "updated_at", "order_amount",
+    "product_category", "city", "order_status", "payment_status",
+)
+
+
 def _draw(stream: str) -> str:
-    return (
-        f"CAST('0x' || substr(md5('{GENERATOR_SEED}:{stream}:' || CAST(o_orderkey + 1 AS VARCHAR)), 1, 8)"
-        " AS BIGINT)"
-    )
+    digest, word = divmod(_STREAMS.index(stream), 4)
+    key = f"'{GENERATOR_SEED}:{digest}:' || CAST(o_orderkey + 1 AS VARCHAR)"
+    return f"CAST('0x' || substr(md5({key}), {1 + 8 * word}, 8) AS BIGINT)"
 
 
 def _pick(values, stream: str) -> str:

@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import QualityError, duplicate_keys
+from ..operators.quality import QualityError
 from ..plans.params import check_identifier, check_table_name, split_table_name
 from ..schema import TABLE_COLUMNS
 
@@ -50,21 +50,31 @@ def _in_table_order(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return df.select(*target)
 
 
-def check_new_keys(df: DataFrame, spark: SparkSession, name: str, key: str) -> None:
-    """Refuse a batch whose ``key`` repeats, is NULL, or is already in ``name``.
+def check_new_keys(df: DataFrame, spark: SparkSession, name: str, key: str) -> dict:
+    """Refuse a batch whose ``key`` is NULL, repeats, or is already in ``name``.
 
-    The in-batch test is a partial+final count per key; the table test is a
-    left-semi join on the key (Spark broadcasts the smaller side only when its
-    size estimate is under the broadcast threshold, else sort-merges), and
-    both stop at the first offending row.
+    One job: the batch is reduced to one row per key (partial and final
+    count, so a hot key costs one row per task), left-joined to the table's
+    key column (only that column is read) and summarised in one aggregate.
+    The batch side is already partitioned by the key after its aggregate, so
+    only the table's keys are shuffled, or broadcast when Spark's size check
+    finds them small.
     """
-    if not df.filter(F.col(key).isNull()).isEmpty():
+    batch = df.groupBy(key).agg(F.count(F.lit(1)).alias("__copies"))
+    existing = spark.table(name).select(F.col(key).alias("__existing"))
+    joined = batch.join(existing, batch[key] == existing["__existing"], "left")
+    report = joined.agg(
+        F.count_if(F.col(key).isNull()).alias("null_keys"),
+        F.count_if(F.col(key).isNotNull() & (F.col("__copies") > 1)).alias("repeated_keys"),
+        F.count_if(F.col("__existing").isNotNull()).alias("existing_keys"),
+    ).first().asDict()
+    if report["null_keys"]:
         raise QualityError(f"NULL {key} in the batch; nothing was written")
-    if not duplicate_keys(df, key).isEmpty():
-        raise QualityError(f"duplicate {key} in the batch; nothing was written")
-    existing = spark.table(name).select(key)
-    if not df.select(key).join(existing, key, "left_semi").isEmpty():
-        raise QualityError(f"{key} already present in {name}; nothing was written")
+    if report["repeated_keys"]:
+        raise QualityError(f"{report['repeated_keys']} duplicate {key} value(s) in the batch; nothing was written")
+    if report["existing_keys"]:
+        raise QualityError(f"{report['existing_keys']} {key} value(s) already present in {name}; nothing was written")
+    return report
 
 
 def append_table(df: DataFrame, name: str, key: str | None = None) -> int:
