@@ -120,7 +120,7 @@ def tidy_load(spark: SparkSession, source: DataFrame, target_table: str) -> JobR
     check_table_name(target_table)
     tidy = tidy_orders(source)
     if not spark.catalog.tableExists(target_table):
-        tidy.limit(0).write.format("parquet").saveAsTable(target_table)
+        spark.catalog.createTable(target_table, source="parquet", schema=tidy.schema)
     written = append_table(tidy, target_table)
     return JobResult("written", written, target_table)
 
@@ -128,8 +128,8 @@ def tidy_load(spark: SparkSession, source: DataFrame, target_table: str) -> JobR
 def refresh_city_revenue(spark: SparkSession, orders_table: str, view: str) -> JobResult:
     """W3 task 2 (K5): rebuild the per-city revenue and repoint ``view`` at it."""
     check_table_name(orders_table)
-    table = publish_table(city_revenue(spark.table(orders_table)), view)
-    return JobResult("written", spark.table(table).count(), view, {"table": table})
+    table, rows = publish_table(city_revenue(spark.table(orders_table)), view)
+    return JobResult("written", rows, view, {"table": table})
 
 
 def city_revenue_job(

@@ -87,10 +87,9 @@ def q_scan_csv_strings(spark, sf_dir):
 
 
 def q_scan_catalog(spark, sf_dir):
-    """S2 + S7: the raw rows as a registered table, selected back."""
+    """S7 (and S2, used by ``job_load_orders``): the raw rows as a registered table, selected back."""
     name = _temp_name("orders_raw")
     _raw(spark, sf_dir).createOrReplaceTempView(name)
-    scan_catalog(spark, name)  # resolves the table like a catalog source would
     return select_all(spark, name)
 
 

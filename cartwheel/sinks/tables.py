@@ -100,12 +100,13 @@ def ctas_replace(df: DataFrame, name: str) -> int:
     return int(obs.get.get("rows", 0))
 
 
-def publish_table(df: DataFrame, view: str) -> str:
+def publish_table(df: DataFrame, view: str) -> tuple[str, int]:
     """K5: materialise ``df`` as a new table and repoint ``view`` at it.
 
     Readers of ``view`` see the old rows until the view is replaced and the
     new rows right after; there is no moment with no view, unlike drop then
-    create. The table the view used before is dropped afterwards.
+    create. The table the view used before is dropped afterwards. Returns
+    the new table's name and its row count.
     """
     spark = df.sparkSession
     schema, base = split_table_name(view)
@@ -113,14 +114,14 @@ def publish_table(df: DataFrame, view: str) -> str:
     version = f"{base}__v{uuid.uuid4().hex[:12]}"
     table = f"{schema}.{version}" if schema else version
     previous = _view_target(spark, view)
-    ctas_replace(df, table)
+    rows = ctas_replace(df, table)
     spark.sql(
         f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{_TARGET_PROPERTY}' = '{table}') "
         f"AS SELECT * FROM {table}"
     )
     if previous and previous != table:
         spark.sql(f"DROP TABLE IF EXISTS {previous}")
-    return table
+    return table, rows
 
 
 def _view_target(spark: SparkSession, view: str) -> str | None:

@@ -190,9 +190,10 @@ def test_k4_ctas_rerun_same_result(spark, db):
 
 def test_k5_publish_replaces_without_gap(spark, db):
     view = f"{db}.city_wise_revenue"
-    first = publish_table(spark.range(3).withColumnRenamed("id", "n"), view)
+    first, rows = publish_table(spark.range(3).withColumnRenamed("id", "n"), view)
+    assert rows == 3
     assert spark.table(view).count() == 3
-    second = publish_table(spark.range(5).withColumnRenamed("id", "n"), view)
+    second, _ = publish_table(spark.range(5).withColumnRenamed("id", "n"), view)
     assert spark.table(view).count() == 5
     assert first != second
     assert not spark.catalog.tableExists(first)
