@@ -14,11 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import parse
 from ..functions.dates import month_of
 from ..operators.aggregates import city_month_distribution, city_revenue, row_count
 from ..operators.conform import normalize_orders, tidy_orders
 from ..operators.dedup import dedup_latest
+from ..operators.filters import any_null
 from ..operators.quality import (
     constraint_violations,
     duplicate_keys,
@@ -52,14 +52,16 @@ def _norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def passes_gate(df: DataFrame) -> DataFrame:
-    """Raw rows whose required values all convert: the load's success path."""
-    return df.filter(
-        parse.to_long(df, "order_id").isNotNull()
-        & F.col("customer_id").isNotNull()
-        & parse.to_date(df, "order_date").isNotNull()
-        & parse.to_money(df, "order_amount").isNotNull()
-        & parse.to_timestamp(df, "updated_at").isNotNull()
-    )
+    """The rows of ``df`` whose required values all convert: the load's success path.
+
+    Returns them already typed; the load's converters pass typed columns
+    through, so nothing is parsed twice.
+    """
+    return invalid_free(normalize_orders(df))
+
+
+def invalid_free(df: DataFrame) -> DataFrame:
+    return df.filter(~any_null(REQUIRED_COLUMNS))
 
 
 def _conformed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,15 +53,17 @@ def _in_table_order(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
 def check_new_keys(df: DataFrame, spark: SparkSession, name: str, key: str) -> dict:
     """Refuse a batch whose ``key`` is NULL, repeats, or is already in ``name``.
 
-    One job: the batch is reduced to one row per key (partial and final
-    count, so a hot key costs one row per task), left-joined to the table's
-    key column (only that column is read) and summarised in one aggregate.
-    The batch side is already partitioned by the key after its aggregate, so
-    only the table's keys are shuffled, or broadcast when Spark's size check
-    finds them small.
+    One job: the batch and the table's key column (only that column is read)
+    are each reduced to one row per key (partial and final aggregates, so a
+    hot key costs one row per task on either side), left-joined on the key
+    and summarised in one aggregate. Both sides come out of their aggregates
+    hash-partitioned by the key, so the join adds no exchange; Spark
+    broadcasts a side instead only when its own size estimate allows.
     """
     batch = df.groupBy(key).agg(F.count(F.lit(1)).alias("__copies"))
-    existing = spark.table(name).select(F.col(key).alias("__existing"))
+    # Distinct table keys: a key repeated in the table collapses per task before
+    # the shuffle, and the join reuses that partitioning (no extra exchange).
+    existing = spark.table(name).select(F.col(key).alias("__existing")).distinct()
     joined = batch.join(existing, batch[key] == existing["__existing"], "left")
     report = joined.agg(
         F.count_if(F.col(key).isNull()).alias("null_keys"),
