@@ -24,10 +24,12 @@ from ..operators.conform import normalize_orders, tidy_orders
 from ..operators.dedup import dedup_latest
 from ..operators.filters import keep_equal
 from ..operators.quality import gate_month, gate_required, require_columns
-from ..schema import EXTRACT_CITY, EXTRACT_COLUMNS, ORDER_COLUMNS
+from ..schema import EXTRACT_CITY, EXTRACT_COLUMNS, GENERATOR_ROWS, GENERATOR_SEED, ORDER_COLUMNS
 from ..session import scratch_path
-from ..sinks.files import write_parquet, write_parquet_by_month
-from ..sinks.tables import append_table, create_table_if_missing, publish_table
+from ..sinks.files import write_dataset, write_parquet, write_parquet_by_month
+from ..sinks.tables import append_table, create_table_if_missing, ctas_replace, publish_table
+from ..sources.files import read_raw_csv
+from ..sources.generate import generate_orders
 from .params import check_table_name
 from .reuse import persisted
 
@@ -139,3 +141,31 @@ def city_revenue_job(
     loaded = tidy_load(spark, source, orders_table)
     revenue = refresh_city_revenue(spark, orders_table, view)
     return loaded, revenue
+
+
+def seed_orders(
+    spark: SparkSession,
+    output_path: str,
+    fmt: str = "csv",
+    n: int = GENERATOR_ROWS,
+    seed: int = GENERATOR_SEED,
+    table: str | None = None,
+    num_partitions: int | None = None,
+) -> JobResult:
+    """Synthetic raw orders as landing files, and optionally a typed table.
+
+    S8 draws the rows in parallel; K8 writes them as ``csv`` or ``parquet``
+    (nothing for ``n = 0``); with ``table`` K4 replaces that table with the
+    conformed rows, so re-running gives the same table. The files are read
+    back for the table, so the draws run once.
+    """
+    if table:
+        check_table_name(table)
+    written = write_dataset(
+        generate_orders(spark, n, seed, num_partitions), output_path, fmt, mode="overwrite"
+    )
+    details: dict = {"format": fmt}
+    if table and written:
+        landed = spark.read.parquet(output_path) if fmt.lower() == "parquet" else read_raw_csv(spark, output_path)
+        details["table_rows"] = ctas_replace(normalize_orders(landed), table)
+    return JobResult("written" if written else "empty", written, output_path, details)

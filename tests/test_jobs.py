@@ -119,3 +119,20 @@ def test_s3_k1_k3_jdbc_options():
     types = create_table_column_types()
     assert "customer_id VARCHAR(32)" in types and "order_amount DECIMAL(12,2)" in types
     assert "updated_at TIMESTAMP" in types
+
+
+def test_seed_orders_files_and_table(spark, out, db):
+    from cartwheel.plans.jobs import seed_orders
+
+    res = seed_orders(spark, os.path.join(out, "csv"), "csv", n=500, table=f"{db}.orders")
+    assert (res.status, res.rows_written, res.details["table_rows"]) == ("written", 500, 500)
+    again = seed_orders(spark, os.path.join(out, "csv"), "csv", n=500, table=f"{db}.orders")
+    assert again.details["table_rows"] == 500 and spark.table(f"{db}.orders").count() == 500
+    typed = spark.table(f"{db}.orders")
+    assert typed.filter("order_id IS NULL OR updated_at IS NULL OR order_amount IS NULL").count() == 0
+    res_p = seed_orders(spark, os.path.join(out, "pq"), "parquet", n=300)
+    assert res_p.rows_written == 300 and spark.read.parquet(os.path.join(out, "pq")).count() == 300
+    empty = seed_orders(spark, os.path.join(out, "none"), "csv", n=0)
+    assert empty.status == "empty" and not os.path.exists(os.path.join(out, "none"))
+    with pytest.raises(ValueError):
+        seed_orders(spark, os.path.join(out, "orc"), "orc", n=5)

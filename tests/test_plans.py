@@ -52,3 +52,36 @@ def test_month_write_rebalances(spark, out):
     assert "RebalancePartitions" in logical
     assert write_parquet_by_month(df, out) == df.count()
     assert spark.read.parquet(out).filter(F.col("month") == 1).count() == df.filter("month = 1").count()
+
+
+def _partial_before_exchange(plan: str) -> bool:
+    """True when a map-side aggregate sits below the first key exchange."""
+    lines = plan.splitlines()
+    ex = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    return bool(ex) and any("Aggregate" in line for line in lines[ex[0] + 1 :])
+
+
+def test_keyed_aggregates_combine_before_shuffle(spark, db):
+    from pyspark.sql import functions as F
+
+    from cartwheel.operators import dedup_latest, duplicate_keys, normalize_orders
+    from cartwheel.sinks import create_table_if_missing
+
+    # One key holds a third of all rows.
+    norm = normalize_orders(raw_orders(spark, SF001)).withColumn(
+        "order_id", F.when(F.col("order_id") % 3 == 0, F.lit(1)).otherwise(F.col("order_id"))
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert _partial_before_exchange(_plan(dedup_latest(norm)))
+        assert _partial_before_exchange(_plan(duplicate_keys(norm)))
+        assert _partial_before_exchange(_plan(city_revenue(norm)))
+        name = f"{db}.orders"
+        create_table_if_missing(spark, name)
+        existing = spark.table(name).select("order_id").distinct()
+        batch = norm.groupBy("order_id").count()
+        assert _partial_before_exchange(_plan(batch.join(existing, "order_id", "left")))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    hot = duplicate_keys(norm).filter("order_id = 1").first()
+    assert hot.copies == norm.filter("order_id = 1").count()
