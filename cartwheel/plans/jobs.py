@@ -4,10 +4,11 @@ Each job: source DataFrame -> pure transforms -> quality gate -> sink ->
 small result record. Only gates, counts and writes run Spark jobs, and no job
 collects more than one summary row to the driver.
 
-Lineage and retries: the load job stages its de-duplicated rows as Parquet
-under ``spark.checkpoint.dir`` (shared storage), gates on the staged copy and
-appends from it, so the shuffle runs once and a lost executor never forces a
-recompute of the de-duplication. The extract job keeps the city's rows
+Lineage and retries: the load job stages its de-duplicated rows as a Parquet
+table under ``spark.checkpoint.dir`` (shared storage), gates on the staged
+copy and appends from it, so the shuffle runs once and a lost executor never
+forces a recompute of the de-duplication; the staging table is dropped at the
+end. The extract job keeps the city's rows
 (persisted) for its gate, count and write, so its source is read once.
 """
 
@@ -25,8 +26,8 @@ from ..operators.dedup import dedup_latest
 from ..operators.filters import keep_equal
 from ..operators.quality import gate_month, gate_required, require_columns
 from ..schema import EXTRACT_CITY, EXTRACT_COLUMNS, GENERATOR_ROWS, GENERATOR_SEED, ORDER_COLUMNS
-from ..session import scratch_path
-from ..sinks.files import write_dataset, write_parquet, write_parquet_by_month
+from ..session import scratch_database
+from ..sinks.files import write_dataset, write_parquet_by_month
 from ..sinks.tables import append_table, create_table_if_missing, ctas_replace, publish_table
 from ..sources.files import read_raw_csv
 from ..sources.generate import generate_orders
@@ -54,7 +55,7 @@ def load_orders(
     source: DataFrame,
     target_table: str,
     key_check: bool = False,
-    staging_path: str | None = None,
+    keep_staging: bool = False,
 ) -> JobResult:
     """Conform, de-duplicate, gate, then append to ``target_table``.
 
@@ -63,18 +64,28 @@ def load_orders(
     target table is created (typed, text bounds) if missing. With
     ``key_check`` keys already in the table refuse the batch, as a primary
     key would.
+
+    The conformed batch is staged once as a managed Parquet table in a
+    scratch database under ``spark.checkpoint.dir``; the gate, the key check
+    and the append all read that copy. The staging database is dropped (files
+    included) when the job ends, unless ``keep_staging``.
     """
     check_table_name(target_table)
     require_columns(source, ORDER_COLUMNS, "source")
-    staging = staging_path or scratch_path(spark, "load-orders-staging")
-    staged_rows = write_parquet(conform_orders(source), staging, mode="overwrite", skip_empty=False)
-    if staged_rows == 0:
-        return JobResult("empty", 0, target_table, {"source_rows": 0})
-    staged = spark.read.parquet(staging)
-    report = gate_required(staged)
-    create_table_if_missing(spark, target_table)
-    written = append_table(staged, target_table, key="order_id" if key_check else None)
-    return JobResult("written", written, target_table, {"report": report, "staging": staging})
+    staging_db = scratch_database(spark, "load_staging")
+    staging_table = f"{staging_db}.orders"
+    try:
+        staged_rows = ctas_replace(conform_orders(source), staging_table)
+        if staged_rows == 0:
+            return JobResult("empty", 0, target_table, {"source_rows": 0})
+        staged = spark.table(staging_table)
+        report = gate_required(staged)
+        create_table_if_missing(spark, target_table)
+        written = append_table(staged, target_table, key="order_id" if key_check else None)
+        return JobResult("written", written, target_table, {"report": report})
+    finally:
+        if not keep_staging:
+            spark.sql(f"DROP DATABASE IF EXISTS {staging_db} CASCADE")
 
 
 def city_rows(orders: DataFrame, city: str = EXTRACT_CITY) -> DataFrame:

@@ -33,16 +33,23 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**CSV_READ_OPTIONS).csv(path)
 
 
-def register_csv_table(spark: SparkSession, name: str, path: str, infer: bool = True) -> DataFrame:
+def register_csv_table(
+    spark: SparkSession, name: str, path: str, infer: bool = True, sampling_ratio: float = 1.0
+) -> DataFrame:
     """Register CSV files as a catalog table with an inferred schema.
 
-    Inference reads the data once at registration; the loads then accept
-    typed or text columns alike.
+    Inference is one extra distributed pass over the files at registration
+    (``sampling_ratio`` below 1 reads a sample; a value that does not fit the
+    type inferred from the sample then reads as NULL, which the load's gate
+    refuses for required columns). With ``infer=False`` every column is text,
+    which the loads accept just as well, and no pass is made.
     """
     check_table_name(name)
+    if not 0 < sampling_ratio <= 1:
+        raise ValueError("sampling_ratio must be in (0, 1]")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} USING csv "
-        f"OPTIONS (header 'true', inferSchema '{str(infer).lower()}') "
+        f"OPTIONS (header 'true', inferSchema '{str(infer).lower()}', samplingRatio '{sampling_ratio}') "
         f"LOCATION '{_quote(path)}'"
     )
     return spark.table(name)

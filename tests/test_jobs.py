@@ -19,11 +19,16 @@ from cartwheel.sources import JdbcConnection, jdbc_read_options, raw_orders, rea
 from .conftest import SF001
 
 
+def _staging_dbs(spark):
+    return [d.name for d in spark.catalog.listDatabases() if d.name.startswith("cw_load_staging")]
+
+
 def test_w1_refuses_dirty_input_and_writes_nothing(spark, db):
     target = f"{db}.orders"
     with pytest.raises(QualityError, match="No rows were written"):
         load_orders(spark, raw_orders(spark, SF001), target)
     assert not spark.catalog.tableExists(target)
+    assert _staging_dbs(spark) == []
 
 
 def test_w1_success_path_counts_match(spark, db):
@@ -33,6 +38,7 @@ def test_w1_success_path_counts_match(spark, db):
     assert result.status == "written"
     assert result.rows_written == spark.table(target).count() == 1412
     assert result.details["report"]["invalid_rows"] == 0
+    assert _staging_dbs(spark) == []
     # A second run of the same batch is refused by the key check.
     with pytest.raises(QualityError, match="already present"):
         load_orders(spark, source, target, key_check=True)
