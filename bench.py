@@ -2,7 +2,8 @@
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_RUNS`` (timed runs per query, default 3),
-``BENCH_QUERIES`` (comma-separated subset, default all).
+``BENCH_QUERIES`` (comma-separated subset, default all), ``BENCH_EVENT_LOG``
+(a folder: write Spark's event log there for ``tools/stage_times.py``).
 
 Each run rebuilds the DataFrame from the files and executes it completely
 with the ``noop`` sink (nothing is collected to the driver), so a timing
@@ -34,14 +35,18 @@ def main() -> None:
     from cartwheel.session import build_session
 
     scratch = tempfile.mkdtemp(prefix="cartwheel-bench-")
+    extra = {
+        "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
+        "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
+    }
+    event_log = os.environ.get("BENCH_EVENT_LOG")
+    if event_log:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
     spark = build_session(
         f"local[{cpus}]",
         app_name="cartwheel-bench",
         shuffle_partitions=cpus,
-        extra={
-            "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
-            "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
-        },
+        extra=extra,
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import min_parallelism
+
 _COLUMNS = """
   CASE WHEN o_orderkey % 97 = 0 THEN NULL
        WHEN o_orderkey % 89 = 0 THEN concat('X', cast(o_orderkey AS varchar(20)))
@@ -60,7 +62,8 @@ SPARK_RAW_ORDERS_SQL = (
 
 
 def tpch_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
+    """The driver's ``orders`` table, spread over all cores when it is one small split."""
+    return min_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet"), "o_orderkey")
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
