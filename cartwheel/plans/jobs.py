@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import month_of
+from ..functions.dates import month_of, year_month_of
 from ..operators.aggregates import city_revenue
 from ..operators.conform import normalize_orders, tidy_orders
 from ..operators.dedup import dedup_latest
@@ -88,10 +88,16 @@ def load_orders(
             spark.sql(f"DROP DATABASE IF EXISTS {staging_db} CASCADE")
 
 
-def city_rows(orders: DataFrame, city: str = EXTRACT_CITY) -> DataFrame:
-    """W2 transform: one city (exact case) with the update month appended."""
+def city_rows(orders: DataFrame, city: str = EXTRACT_CITY, with_year: bool = False) -> DataFrame:
+    """W2 transform: one city (exact case) with the update month appended.
+
+    The month has no year by default, as in the original job, so the same
+    month of different years shares a partition; ``with_year`` makes it
+    ``yyyymm`` instead.
+    """
     require_columns(orders, EXTRACT_COLUMNS, "orders table")
-    return keep_equal(orders, "city", city).withColumn("month", month_of(F.col("updated_at")))
+    month = year_month_of if with_year else month_of
+    return keep_equal(orders, "city", city).withColumn("month", month(F.col("updated_at")))
 
 
 def extract_city(
@@ -100,6 +106,7 @@ def extract_city(
     output_path: str,
     city: str = EXTRACT_CITY,
     keep: bool = True,
+    with_year: bool = False,
 ) -> JobResult:
     """One city's orders to Parquet partitioned by month (static overwrite).
 
@@ -109,7 +116,7 @@ def extract_city(
     (a JDBC query, or an expensive plan) is read once; without it the gate is
     a second, pruned pass that reads only ``city`` and ``updated_at``.
     """
-    rows = city_rows(orders, city)
+    rows = city_rows(orders, city, with_year)
     if not keep:
         return _extract(rows, output_path)
     with persisted(rows) as kept:

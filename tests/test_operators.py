@@ -151,6 +151,12 @@ def test_a5_o1_city_month_sorted(spark):
     ]
 
 
+def test_a5_with_year_keeps_years_apart(spark):
+    rows = [with_(city="A", updated_at="2026-03-01 00:00:00"), with_(city="A", updated_at="2025-03-09 00:00:00")]
+    out = city_month_distribution(normalize_orders(raw(spark, rows)), with_year=True).collect()
+    assert [(r.month, r.record_count) for r in out] == [(202503, 1), (202603, 1)]
+
+
 def test_a6_row_count(spark):
     assert row_count(spark.range(123)).first()[0] == 123
 
