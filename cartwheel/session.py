@@ -68,20 +68,29 @@ def scratch_root(spark: SparkSession) -> str:
     Read from the session first. Only a local-mode session with no setting
     gets its own folder, which is then also made the checkpoint dir.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a SparkContext (remote clients)
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current.rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir().rstrip("/")
-    if not sc.master.startswith("local"):
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir().rstrip("/")
+        return configured.rstrip("/")
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder (HDFS, object store) "
             "for intermediate tables"
         )
     local = tempfile.mkdtemp(prefix="cartwheel-")
+    if sc is None:
+        return local
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
 
@@ -120,7 +129,11 @@ def min_parallelism(df, *keys: str, partitions: int | None = None):
     the rows are hash-partitioned on them (deterministic on retry without the
     local sort a round-robin spread needs); pick keys with many values.
     """
-    target = partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no SparkContext or RDD view (remote clients): leave as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
