@@ -32,7 +32,7 @@ from ..sinks.tables import append_table, create_table_if_missing, ctas_replace,
 from ..sources.files import read_raw_csv
 from ..sources.generate import generate_orders
 from .params import check_table_name
-from .reuse import persisted
+from .reuse import kept
 
 
 @dataclass
@@ -105,22 +105,25 @@ def extract_city(
     orders: DataFrame,
     output_path: str,
     city: str = EXTRACT_CITY,
-    keep: bool = True,
+    keep: str = "stage",
     with_year: bool = False,
 ) -> JobResult:
     """One city's orders to Parquet partitioned by month (static overwrite).
 
     Any NULL month refuses the write. An empty extract writes nothing, since
-    an empty partitioned write leaves no readable dataset. With ``keep`` (C1)
-    the city's rows are persisted for the gate and the write, so the source
-    (a JDBC query, or an expensive plan) is read once; without it the gate is
-    a second, pruned pass that reads only ``city`` and ``updated_at``.
+    an empty partitioned write leaves no readable dataset. ``keep`` (C1)
+    decides how the city's rows serve both the gate and the write: the
+    default ``stage`` reads the source once into a scratch Parquet table on
+    shared storage (dropped afterwards), cutting the lineage, so a lost
+    executor or a source that changes in between cannot make the written
+    rows differ from the checked ones; ``checkpoint`` does the same with
+    ``DataFrame.checkpoint``; ``persist`` keeps them on executors; ``none``
+    reads the source twice (the gate pass then reads only ``city`` and
+    ``updated_at``).
     """
     rows = city_rows(orders, city, with_year)
-    if not keep:
-        return _extract(rows, output_path)
-    with persisted(rows) as kept:
-        return _extract(kept, output_path)
+    with kept(rows, keep) as city_orders:
+        return _extract(city_orders, output_path)
 
 
 def _extract(rows: DataFrame, output_path: str) -> JobResult:

@@ -47,6 +47,8 @@ def build_session(
     settings["spark.sql.session.timeZone"] = "UTC"
     settings["spark.ui.enabled"] = "false"
     settings["spark.ui.showConsoleProgress"] = "false"
+    # Remove checkpoint files of DataFrames that are no longer referenced.
+    settings["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(extra or {})

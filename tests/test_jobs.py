@@ -67,6 +67,20 @@ def test_w2_month_gate_and_partitions(spark, out):
     assert extract_city(spark, good, os.path.join(out, "none"), city="Nowhere").status == "empty"
 
 
+@pytest.mark.parametrize("keep", ["stage", "checkpoint", "persist", "none"])
+def test_w2_keep_modes_agree(spark, out, keep):
+    good = conform_orders(passes_gate(raw_orders(spark, SF001)))
+    res = extract_city(spark, good, os.path.join(out, keep), keep=keep)
+    assert res.rows_written == spark.read.parquet(os.path.join(out, keep)).count()
+    assert res.rows_written == good.filter("city = 'Kolkata'").count() > 0
+
+
+def test_w2_unknown_keep_mode(spark, out):
+    good = conform_orders(passes_gate(raw_orders(spark, SF001)))
+    with pytest.raises(ValueError, match="keep"):
+        extract_city(spark, good, os.path.join(out, "x"), keep="cache")
+
+
 def test_w2_city_filter_is_pushed_to_parquet(spark, out):
     good = conform_orders(passes_gate(raw_orders(spark, SF001)))
     good.write.parquet(os.path.join(out, "t"))
