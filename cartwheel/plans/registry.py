@@ -29,7 +29,7 @@ from ..operators.quality import (
 )
 from ..schema import CONFORMED_SCHEMA, REQUIRED_COLUMNS
 from ..session import scratch_database, scratch_path
-from ..sinks.files import CSV_WRITE_OPTIONS, write_csv, write_parquet, write_parquet_by_month
+from ..sinks.files import CSV_WRITE_OPTIONS, write_csv, write_dataset, write_parquet, write_parquet_by_month
 from ..sinks.tables import append_table, create_table_if_missing, ctas_replace, publish_table
 from ..sources.catalog import scan_catalog, select_all
 from ..sources.files import read_raw_csv, register_csv_table, register_parquet_table
@@ -76,7 +76,7 @@ def _temp_name(prefix: str) -> str:
 def _land_raw_csv(spark: SparkSession, sf_dir: str) -> str:
     """Write the raw rows as CSV landing files and return the folder."""
     path = scratch_path(spark, "raw-orders-csv")
-    write_csv(_raw(spark, sf_dir), path, mode="overwrite", skip_empty=False)
+    write_dataset(_raw(spark, sf_dir), path, "csv", mode="overwrite", skip_empty=False)  # K8 -> K6
     return path
 
 
