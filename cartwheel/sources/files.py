@@ -8,6 +8,8 @@ filters into row groups and prunes ``month=`` directories).
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.params import check_table_name
@@ -34,7 +36,12 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def register_csv_table(
-    spark: SparkSession, name: str, path: str, infer: bool = True, sampling_ratio: float = 1.0
+    spark: SparkSession,
+    name: str,
+    path: str,
+    infer: bool = True,
+    sampling_ratio: float = 1.0,
+    timestamps_without_zone: bool = True,
 ) -> DataFrame:
     """Register CSV files as a catalog table with an inferred schema.
 
@@ -43,18 +50,41 @@ def register_csv_table(
     type inferred from the sample then reads as NULL, which the load's gate
     refuses for required columns). With ``infer=False`` every column is text,
     which the loads accept just as well, and no pass is made.
+
+    With ``timestamps_without_zone`` timestamp columns are inferred as
+    ``TIMESTAMP_NTZ`` (the session setting is changed for the registration
+    only), so the stored type, and every later read, keeps the wall clock
+    written in the files whatever the session time zone.
     """
     check_table_name(name)
     if not 0 < sampling_ratio <= 1:
         raise ValueError("sampling_ratio must be in (0, 1]")
-    spark.sql(
+    statement = (
         f"CREATE TABLE IF NOT EXISTS {name} USING csv "
         f"OPTIONS (header 'true', inferSchema '{str(infer).lower()}', samplingRatio '{sampling_ratio}') "
         f"LOCATION '{_quote(path)}'"
     )
+    if infer and timestamps_without_zone:
+        with _session_setting(spark, "spark.sql.timestampType", "TIMESTAMP_NTZ"):
+            spark.sql(statement)
+    else:
+        spark.sql(statement)
     return spark.table(name)
 
 
+@contextmanager
+def _session_setting(spark: SparkSession, key: str, value: str):
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if previous is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, previous)
+
+
 def register_parquet_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Register a (partitioned) Parquet dataset and find its partitions.
 

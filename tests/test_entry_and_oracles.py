@@ -43,3 +43,16 @@ def test_query_matches_oracle_sf001(spark, duck, name):
     result = compare(spark, duck, name, SF01)
     assert result["ok"], result
     assert not result["type_issues"], result
+
+
+@pytest.mark.parametrize("name", ["register_csv_inferred", "normalize_orders", "tidy_orders", "city_extract"])
+def test_query_matches_oracle_in_other_session_settings(spark, duck, name):
+    """The driver's session may use another time zone (with DST gaps) or ANSI off."""
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        result = compare(spark, duck, name, SF01)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert result["ok"], result
