@@ -93,11 +93,8 @@ def register_parquet_table(spark: SparkSession, name: str, path: str) -> DataFra
     """
     check_table_name(name)
     spark.catalog.createTable(name, path=path, source="parquet")
-    try:
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
-    except Exception as exc:  # non-partitioned datasets have nothing to recover
-        if "not partitioned" not in str(exc).lower() and "NOT_A_PARTITIONED_TABLE" not in str(exc):
-            raise
     spark.catalog.refreshTable(name)
     return spark.table(name)
 

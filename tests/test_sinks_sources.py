@@ -103,6 +103,12 @@ def test_s5_register_partitions(spark, out, db):
     assert "PartitionFilters: [isnotnull(month" in plan and "(month" in plan
 
 
+def test_s5_register_unpartitioned(spark, out, db):
+    write_parquet(conformed(spark, 4), out, mode="overwrite")
+    table = register_parquet_table(spark, f"{db}.orders_flat", out)
+    assert table.count() == 4 and "month" not in table.columns
+
+
 def test_s4_inferred_csv_is_normalized_like_text(spark, out, db):
     df = spark.createDataFrame([ROW], RAW_SCHEMA)
     write_csv(df, out, mode="overwrite")
