@@ -81,7 +81,7 @@ def load_orders(
         staged = spark.table(staging_table)
         report = gate_required(staged)
         create_table_if_missing(spark, target_table)
-        written = append_table(staged, target_table, key="order_id" if key_check else None)
+        written = append_table(staged, target_table, key="order_id" if key_check else None, stage=False)
         return JobResult("written", written, target_table, {"report": report})
     finally:
         if not keep_staging:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators.quality import QualityError
 from ..plans.params import check_identifier, check_table_name, split_table_name
+from ..plans.reuse import kept
 from ..schema import TABLE_COLUMNS
 
 _TARGET_PROPERTY = "cartwheel.published_table"
@@ -50,7 +51,9 @@ def _in_table_order(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return df.select(*target)
 
 
-def check_new_keys(df: DataFrame, spark: SparkSession, name: str, key: str) -> dict:
+def check_new_keys(
+    df: DataFrame, spark: SparkSession, name: str, key: str, prune_by_range: bool = True
+) -> dict:
     """Refuse a batch whose ``key`` is NULL, repeats, or is already in ``name``.
 
     One job: the batch and the table's key column (only that column is read)
@@ -59,11 +62,23 @@ def check_new_keys(df: DataFrame, spark: SparkSession, name: str, key: str) -> d
     and summarised in one aggregate. Both sides come out of their aggregates
     hash-partitioned by the key, so the join adds no exchange; Spark
     broadcasts a side instead only when its own size estimate allows.
+
+    With ``prune_by_range`` a small job first takes the batch's smallest and
+    largest key, and the table is read only within that range: the bounds
+    reach the Parquet scan, which skips every row group whose statistics lie
+    outside. The test stays exact (a key outside the range cannot match), and
+    a table loaded in key order is then read only near the batch, not whole.
+    Pass a staged or cheap ``df``; the range job reads it once more.
     """
+    existing = spark.table(name).select(F.col(key).alias("__existing"))
+    if prune_by_range:
+        lo, hi = df.agg(F.min(key), F.max(key)).first()
+        if lo is not None:
+            existing = existing.filter(F.col("__existing").between(F.lit(lo), F.lit(hi)))
     batch = df.groupBy(key).agg(F.count(F.lit(1)).alias("__copies"))
     # Distinct table keys: a key repeated in the table collapses per task before
     # the shuffle, and the join reuses that partitioning (no extra exchange).
-    existing = spark.table(name).select(F.col(key).alias("__existing")).distinct()
+    existing = existing.distinct()
     joined = batch.join(existing, batch[key] == existing["__existing"], "left")
     report = joined.agg(
         F.count_if(F.col(key).isNull()).alias("null_keys"),
@@ -79,16 +94,25 @@ def check_new_keys(df: DataFrame, spark: SparkSession, name: str, key: str) -> d
     return report
 
 
-def append_table(df: DataFrame, name: str, key: str | None = None) -> int:
+def append_table(df: DataFrame, name: str, key: str | None = None, stage: bool = True) -> int:
     """K1: append rows to an existing table, by column name; rows written.
 
     Spark commits the whole insert at once for a catalog table. With ``key``
-    the batch is refused like a primary-key violation would refuse it.
+    the batch is refused like a primary-key violation would refuse it; the
+    batch is then first staged once on shared storage (``stage``), so the
+    key checks and the insert read the same rows and the batch's plan runs
+    once. Pass ``stage=False`` for a batch that is already a stored table.
     """
     spark = df.sparkSession
     check_table_name(name)
-    if key is not None:
-        check_new_keys(df, spark, name, key)
+    if key is None:
+        return _insert(df, spark, name)
+    with kept(df, "stage" if stage else "none") as rows:
+        check_new_keys(rows, spark, name, key)
+        return _insert(rows, spark, name)
+
+
+def _insert(df: DataFrame, spark: SparkSession, name: str) -> int:
     obs = Observation(f"append_{uuid.uuid4().hex[:8]}")
     _in_table_order(df, spark, name).observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(name)
     return int(obs.get.get("rows", 0))

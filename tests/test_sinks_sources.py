@@ -204,3 +204,19 @@ def test_k5_publish_replaces_without_gap(spark, db):
     assert first != second
     assert not spark.catalog.tableExists(first)
     assert spark.catalog.tableExists(second)
+
+
+def test_k1_key_check_range_reaches_scan_and_stays_exact(spark, db):
+    name = f"{db}.orders_range"
+    create_table_if_missing(spark, name)
+    append_table(conformed(spark, 6), name, key="order_id")  # keys 100001..100006
+    from cartwheel.sinks.tables import check_new_keys
+
+    later = conformed(spark, 9).filter("order_id > 100006")
+    assert check_new_keys(later, spark, name, "order_id")["existing_keys"] == 0
+    overlap = conformed(spark, 9).filter("order_id >= 100005")
+    with pytest.raises(QualityError, match="2 order_id value"):
+        check_new_keys(overlap, spark, name, "order_id")
+    lo_hi = spark.table(name).select("order_id").filter(F.col("order_id").between(100007, 100009))
+    plan = lo_hi._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(order_id,100007)" in plan and "LessThanOrEqual(order_id,100009)" in plan
