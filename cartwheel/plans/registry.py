@@ -255,8 +255,8 @@ def q_city_extract(spark, sf_dir):
 def q_job_city_revenue(spark, sf_dir):
     """Raw CSV landing files -> tidy append -> published city revenue."""
     path = _land_raw_csv(spark, sf_dir)
-    db = scratch_database(spark, "mwaa")
-    jobs.city_revenue_job(spark, read_raw_csv(spark, path), f"{db}.orders_mwaa", f"{db}.city_wise_revenue")
+    db = scratch_database(spark, "tidy")
+    jobs.city_revenue_job(spark, read_raw_csv(spark, path), f"{db}.orders_tidy", f"{db}.city_wise_revenue")
     return spark.table(f"{db}.city_wise_revenue")
 
 

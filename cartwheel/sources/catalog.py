@@ -8,7 +8,7 @@ from ..plans.params import check_table_name
 
 
 def scan_catalog(spark: SparkSession, table: str, database: str | None = None) -> DataFrame:
-    """A table registered in the session catalog (Hive metastore, Glue...)."""
+    """A table registered in the session catalog (Hive metastore or another catalog service)."""
     name = f"{database}.{table}" if database else table
     check_table_name(name)
     return spark.table(name)

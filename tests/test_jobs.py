@@ -94,11 +94,11 @@ def test_w2_city_filter_is_pushed_to_parquet(spark, out):
 def test_w3_revenue_after_load_and_rerun_doubles(spark, out, db):
     write_csv(raw_orders(spark, SF001), out, mode="overwrite")
     source = read_raw_csv(spark, out)
-    loaded, revenue = city_revenue_job(spark, source, f"{db}.orders_mwaa", f"{db}.city_wise_revenue")
+    loaded, revenue = city_revenue_job(spark, source, f"{db}.orders_tidy", f"{db}.city_wise_revenue")
     assert loaded.rows_written == 1513
     first = {r.city: r.order_count for r in spark.table(f"{db}.city_wise_revenue").collect()}
     assert sum(first.values()) == 1513 and len(first) == 7
-    city_revenue_job(spark, source, f"{db}.orders_mwaa", f"{db}.city_wise_revenue")
+    city_revenue_job(spark, source, f"{db}.orders_tidy", f"{db}.city_wise_revenue")
     second = {r.city: r.order_count for r in spark.table(f"{db}.city_wise_revenue").collect()}
     assert second == {c: 2 * n for c, n in first.items()}
 
