@@ -8,8 +8,10 @@ from .jobs import (
     extract_city,
     load_orders,
     refresh_city_revenue,
+    seed_orders,
     tidy_load,
 )
+from .reuse import kept, persisted, staged
 from .params import check_identifier, check_jdbc_url, check_location, check_table_name
 
 __all__ = [
@@ -23,6 +25,10 @@ __all__ = [
     "conform_orders",
     "extract_city",
     "load_orders",
+    "kept",
+    "persisted",
     "refresh_city_revenue",
+    "seed_orders",
+    "staged",
     "tidy_load",
 ]

@@ -26,13 +26,12 @@ from ..operators.dedup import dedup_latest
 from ..operators.filters import keep_equal
 from ..operators.quality import gate_month, gate_required, require_columns
 from ..schema import EXTRACT_CITY, EXTRACT_COLUMNS, GENERATOR_ROWS, GENERATOR_SEED, ORDER_COLUMNS
-from ..session import scratch_database
 from ..sinks.files import write_dataset, write_parquet_by_month
 from ..sinks.tables import append_table, create_table_if_missing, ctas_replace, publish_table
 from ..sources.files import read_raw_csv
 from ..sources.generate import generate_orders
 from .params import check_table_name
-from .reuse import kept
+from .reuse import kept, staged
 
 
 @dataclass
@@ -66,26 +65,21 @@ def load_orders(
     key would.
 
     The conformed batch is staged once as a managed Parquet table in a
-    scratch database under ``spark.checkpoint.dir``; the gate, the key check
-    and the append all read that copy. The staging database is dropped (files
-    included) when the job ends, unless ``keep_staging``.
+    scratch database under ``spark.checkpoint.dir``; the gate (whose row
+    count also detects an empty source), the key check and the append all
+    read that copy. The staging database is dropped (files included) when
+    the job ends, unless ``keep_staging``.
     """
     check_table_name(target_table)
     require_columns(source, ORDER_COLUMNS, "source")
-    staging_db = scratch_database(spark, "load_staging")
-    staging_table = f"{staging_db}.orders"
-    try:
-        staged_rows = ctas_replace(conform_orders(source), staging_table)
-        if staged_rows == 0:
-            return JobResult("empty", 0, target_table, {"source_rows": 0})
-        staged = spark.table(staging_table)
-        report = gate_required(staged)
+    with staged(conform_orders(source), "load_staging", drop=not keep_staging) as batch:
+        report = gate_required(batch)
+        if report["row_count"] == 0:
+            return JobResult("empty", 0, target_table, {"report": report})
         create_table_if_missing(spark, target_table)
-        written = append_table(staged, target_table, key="order_id" if key_check else None, stage=False)
+        key = "order_id" if key_check else None
+        written = append_table(batch, target_table, key=key, stage=False)
         return JobResult("written", written, target_table, {"report": report})
-    finally:
-        if not keep_staging:
-            spark.sql(f"DROP DATABASE IF EXISTS {staging_db} CASCADE")
 
 
 def city_rows(orders: DataFrame, city: str = EXTRACT_CITY, with_year: bool = False) -> DataFrame:

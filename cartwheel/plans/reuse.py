@@ -67,8 +67,9 @@ def kept(df: DataFrame, mode: str = "stage") -> Iterator[DataFrame]:
 
 
 @contextmanager
-def staged(df: DataFrame, name: str = "staged") -> Iterator[DataFrame]:
-    """Write ``df`` once as a Parquet table under the scratch root; drop it at the end."""
+def staged(df: DataFrame, name: str = "staged", drop: bool = True) -> Iterator[DataFrame]:
+    """Write ``df`` once as a Parquet table under the scratch root; drop it at the end
+    (unless ``drop`` is false, to look at the rows afterwards)."""
     spark = df.sparkSession
     db = scratch_database(spark, name)
     table = f"{db}.rows"
@@ -76,4 +77,5 @@ def staged(df: DataFrame, name: str = "staged") -> Iterator[DataFrame]:
         df.write.format("parquet").saveAsTable(table)
         yield spark.table(table)
     finally:
-        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+        if drop:
+            spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
