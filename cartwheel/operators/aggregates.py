@@ -27,26 +27,53 @@ def exact_average(total, count):
     return F.round(F.try_divide(total, count), 2).cast(AVERAGE_TYPE)
 
 
+REVENUE_TYPE = T.DecimalType(22, 2)  # sum of decimal(12,2), as Spark types it
+REVENUE_COLUMNS = ("city", "order_count", "total_revenue", "average_order_value")
+
+
+def city_revenue_parts(df: DataFrame, city: str = "city", amount: str = "order_amount") -> DataFrame:
+    """The additive parts of the city revenue: row count, exact sum, count of amounts.
+
+    Parts of two batches add up to the parts of both, so a summary can be
+    kept up to date from each new batch alone (``merge_revenue_parts``).
+    """
+    return df.groupBy(F.col(city).alias("city")).agg(
+        F.count(F.lit(1)).alias("order_count"),
+        F.sum(amount).cast(REVENUE_TYPE).alias("total_revenue"),
+        F.count(amount).alias("amount_count"),
+    )
+
+
+def merge_revenue_parts(*parts: DataFrame) -> DataFrame:
+    """Add up revenue parts city by city (a NULL city is a group like any other)."""
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return union.groupBy("city").agg(
+        F.sum("order_count").cast("bigint").alias("order_count"),
+        F.sum("total_revenue").cast(REVENUE_TYPE).alias("total_revenue"),
+        F.sum("amount_count").cast("bigint").alias("amount_count"),
+    )
+
+
+def finish_revenue(parts: DataFrame, keep_parts: bool = False) -> DataFrame:
+    """The public columns from the parts (``amount_count`` kept on request)."""
+    cols = [
+        "city",
+        "order_count",
+        "total_revenue",
+        exact_average(F.col("total_revenue"), F.col("amount_count")).alias("average_order_value"),
+    ]
+    return parts.select(*cols, *(["amount_count"] if keep_parts else []))
+
+
 def city_revenue(df: DataFrame, city: str = "city", amount: str = "order_amount") -> DataFrame:
     """A1-A4: orders, revenue and average order value per city.
 
     ``order_count`` counts every row (NULL amounts included); the average
     divides by the non-NULL amounts only.
     """
-    return (
-        df.groupBy(F.col(city).alias("city"))
-        .agg(
-            F.count(F.lit(1)).alias("order_count"),
-            F.sum(amount).alias("total_revenue"),
-            F.count(amount).alias("_amounts"),
-        )
-        .select(
-            "city",
-            "order_count",
-            "total_revenue",
-            exact_average(F.col("total_revenue"), F.col("_amounts")).alias("average_order_value"),
-        )
-    )
+    return finish_revenue(city_revenue_parts(df, city, amount))
 
 
 def city_month_distribution(

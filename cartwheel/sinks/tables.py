@@ -13,6 +13,7 @@ committed once. Rules Spark tables do not keep are enforced as gates:
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -126,13 +127,15 @@ def ctas_replace(df: DataFrame, name: str) -> int:
     return int(obs.get.get("rows", 0))
 
 
-def publish_table(df: DataFrame, view: str) -> tuple[str, int]:
+def publish_table(df: DataFrame, view: str, columns: Sequence[str] | None = None) -> tuple[str, int]:
     """K5: materialise ``df`` as a new table and repoint ``view`` at it.
 
     Readers of ``view`` see the old rows until the view is replaced and the
     new rows right after; there is no moment with no view, unlike drop then
-    create. The table the view used before is dropped afterwards. Returns
-    the new table's name and its row count.
+    create. The table the view used before is dropped afterwards. With
+    ``columns`` the view shows only those (the table may keep more, such as
+    the parts an incremental refresh needs). Returns the new table's name and
+    its row count.
     """
     spark = df.sparkSession
     schema, base = split_table_name(view)
@@ -141,15 +144,21 @@ def publish_table(df: DataFrame, view: str) -> tuple[str, int]:
     table = f"{schema}.{version}" if schema else version
     previous = _view_target(spark, view)
     rows = ctas_replace(df, table)
+    shown = ", ".join(check_identifier(c, "column") for c in columns) if columns else "*"
     spark.sql(
         f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{_TARGET_PROPERTY}' = '{table}') "
-        f"AS SELECT * FROM {table}"
+        f"AS SELECT {shown} FROM {table}"
     )
     if previous and previous != table:
         spark.sql(f"DROP TABLE IF EXISTS {previous}")
     return table, rows
 
 
+def published_table(spark: SparkSession, view: str) -> str | None:
+    """The table behind a view made by ``publish_table`` (None if there is none)."""
+    return _view_target(spark, view)
+
+
 def _view_target(spark: SparkSession, view: str) -> str | None:
     """The table a published view points at, from the view's own property."""
     if not spark.catalog.tableExists(view):

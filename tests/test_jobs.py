@@ -156,3 +156,20 @@ def test_seed_orders_files_and_table(spark, out, db):
     assert empty.status == "empty" and not os.path.exists(os.path.join(out, "none"))
     with pytest.raises(ValueError):
         seed_orders(spark, os.path.join(out, "orc"), "orc", n=5)
+
+
+def test_w3_incremental_revenue_equals_full_rebuild(spark, out, db):
+    from cartwheel.operators import city_revenue, tidy_orders
+
+    write_csv(raw_orders(spark, SF001), out, mode="overwrite")
+    source = read_raw_csv(spark, out)
+    view = f"{db}.city_wise_revenue"
+    first, rev1 = city_revenue_job(spark, source, f"{db}.orders_tidy", view, incremental=True)
+    assert rev1.details["mode"] == "full"
+    second, rev2 = city_revenue_job(spark, source, f"{db}.orders_tidy", view, incremental=True)
+    assert rev2.details["mode"] == "incremental"
+    got = sorted(tuple(r) for r in spark.table(view).collect())
+    want = sorted(tuple(r) for r in city_revenue(spark.table(f"{db}.orders_tidy")).collect())
+    assert got == want
+    assert spark.table(view).columns == ["city", "order_count", "total_revenue", "average_order_value"]
+    assert sum(r.order_count for r in spark.table(view).collect()) == 2 * tidy_orders(source).count()
