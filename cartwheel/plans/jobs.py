@@ -101,6 +101,7 @@ def extract_city(
     city: str = EXTRACT_CITY,
     keep: str = "stage",
     with_year: bool = False,
+    partition_overwrite: str = "static",
 ) -> JobResult:
     """One city's orders to Parquet partitioned by month (static overwrite).
 
@@ -113,18 +114,19 @@ def extract_city(
     rows differ from the checked ones; ``checkpoint`` does the same with
     ``DataFrame.checkpoint``; ``persist`` keeps them on executors; ``none``
     reads the source twice (the gate pass then reads only ``city`` and
-    ``updated_at``).
+    ``updated_at``). ``partition_overwrite="dynamic"`` replaces only the
+    months present in this run instead of the whole dataset.
     """
     rows = city_rows(orders, city, with_year)
     with kept(rows, keep) as city_orders:
-        return _extract(city_orders, output_path)
+        return _extract(city_orders, output_path, partition_overwrite)
 
 
-def _extract(rows: DataFrame, output_path: str) -> JobResult:
+def _extract(rows: DataFrame, output_path: str, partition_overwrite: str = "static") -> JobResult:
     report = gate_month(rows.select("month"))
     if report["row_count"] == 0:
         return JobResult("empty", 0, output_path, {"report": report})
-    written = write_parquet_by_month(rows, output_path)
+    written = write_parquet_by_month(rows, output_path, partition_overwrite=partition_overwrite)
     return JobResult("written", written, output_path, {"report": report})
 
 

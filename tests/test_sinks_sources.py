@@ -92,6 +92,16 @@ def test_k2_static_overwrite_leaves_only_new_months(spark, out):
     assert months == [2]
 
 
+def test_k2_dynamic_overwrite_keeps_other_months(spark, out):
+    df = conformed(spark, 24).withColumn("month", F.month("updated_at"))
+    write_parquet_by_month(df, out)
+    write_parquet_by_month(df.filter("month = 2"), out, partition_overwrite="dynamic")
+    back = spark.read.parquet(out)
+    assert back.select("month").distinct().count() == 12 and back.count() == 24
+    with pytest.raises(ValueError):
+        write_parquet_by_month(df, out, partition_overwrite="append")
+
+
 def test_s5_register_partitions(spark, out, db):
     df = conformed(spark, 12).withColumn("month", F.month("updated_at"))
     write_parquet_by_month(df, out)
