@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..plans.params import check_jdbc_url, check_table_name
+from ..plans.params import check_identifier, check_jdbc_url, check_table_name
 
 
 @dataclass(frozen=True)
@@ -58,6 +58,7 @@ def jdbc_read_options(
     if prefer_timestamp_ntz:
         opts["preferTimestampNTZ"] = "true"
     if partition_column is not None:
+        check_identifier(partition_column, "partition column")
         if lower_bound is None or upper_bound is None or not num_partitions:
             raise ValueError("partitioned JDBC reads need lower_bound, upper_bound and num_partitions")
         if lower_bound > upper_bound:
@@ -81,6 +82,7 @@ def read_jdbc(spark: SparkSession, conn: JdbcConnection, table: str, **kwargs) -
 def key_bounds(spark: SparkSession, conn: JdbcConnection, table: str, column: str) -> tuple[int, int] | None:
     """Smallest and largest ``column`` value, computed by the database."""
     check_table_name(table)
+    check_identifier(column, "column")
     opts = conn.options()
     opts["query"] = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
     row = spark.read.format("jdbc").options(**opts).load().first()

@@ -134,6 +134,8 @@ def test_s3_k1_k3_jdbc_options():
         jdbc_read_options(conn, "public.orders", partition_column="order_id")
     with pytest.raises(ValueError):
         jdbc_read_options(conn, "public.orders; DROP TABLE x")
+    with pytest.raises(ValueError):
+        jdbc_read_options(conn, "public.orders", partition_column="id) OR (1=1", lower_bound=1, upper_bound=2, num_partitions=2)
     w = jdbc_write_options(conn, "public.orders", num_partitions=4)
     assert w["numPartitions"] == "4" and w["batchsize"] == "1000"
     types = create_table_column_types()
