@@ -20,13 +20,16 @@ from cartwheel.sources import raw_orders
 
 from .conftest import SF001, SF01
 
+SF1 = "/root/testdata/sf0.1"
+
 GOLDEN = {
     SF001: dict(raw=1530, invalid=89, dup_keys=29, dedup_valid=1412, dedup_all=1469, tidy=1513, kolkata=240),
     SF01: dict(raw=15300, invalid=897, dup_keys=293, dedup_valid=14120, dedup_all=14679, tidy=15141, kolkata=2177),
+    SF1: dict(raw=153000, invalid=8958, dup_keys=2936, dedup_valid=141220, dedup_all=146786, tidy=151422, kolkata=21818),
 }
 
 
-@pytest.mark.parametrize("sf_dir", [SF001, SF01])
+@pytest.mark.parametrize("sf_dir", [SF001, SF01, SF1])
 def test_fixture_counts(spark, sf_dir):
     want = GOLDEN[sf_dir]
     raw = raw_orders(spark, sf_dir)
