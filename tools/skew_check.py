@@ -86,6 +86,23 @@ def main(argv) -> None:
         action()
 
     run("dedup_latest", lambda: dedup_latest(hot).write.format("noop").mode("overwrite").save())
+
+    # For comparison only: the same survivor by a row_number() window, with the
+    # optimizer's partial window group limit switched off.
+    def window_dedup():
+        from pyspark.sql import Window
+
+        order = [F.col("updated_at").desc_nulls_last()] + [
+            F.col(c).desc_nulls_last() for c in hot.columns if c not in ("order_id", "updated_at")
+        ]
+        ranked = hot.withColumn("_rn", F.row_number().over(Window.partitionBy("order_id").orderBy(*order)))
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "-1")
+        try:
+            ranked.filter("_rn = 1").drop("_rn").write.format("noop").mode("overwrite").save()
+        finally:
+            spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+    run("window_no_limit", window_dedup)
     run("duplicate_keys", lambda: duplicate_keys(hot).write.format("noop").mode("overwrite").save())
     run("city_revenue", lambda: city_revenue(hot).write.format("noop").mode("overwrite").save())
     run(
