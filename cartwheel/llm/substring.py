@@ -65,8 +65,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
 
     # Rounds 1 and 2: grams seen once go; a gram with one stretch only is settled.
     ranks = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), (F.min("stretch") == F.max("stretch")).alias("same"))
-    alive = scratch.table(anchors.join(ranks.filter("n > 1").drop("n"), "gram"), "alive")
-    scratch.drop("anchors")
+    # Tables of their own: joins on a frequent rank can then be split.
+    ranks = scratch.table(ranks.filter("n > 1").drop("n"), "ranks")
+    alive = scratch.table(anchors.join(ranks, "gram"), "alive")
+    scratch.drop("anchors", "ranks")
     scratch.release()
     stretches = (
         alive.filter("NOT same")
@@ -88,13 +90,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
         "windows",
     )
     flat = windows.select("doc_id", "h", F.inline(F.arrays_zip("s", "rank")))
-    twice = flat.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    twice = scratch.table(flat.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "twice")
     single = flat.join(twice, "rank").select("doc_id", "h", F.col("s").alias("lo"), (F.col("s") + 1).alias("hi"))
 
     covered = scratch.table(
         whole.unionByName(single).groupBy("doc_id", "h").agg(F.collect_set(F.struct("lo", "hi")).alias("runs")), "covered"
     )
-    scratch.drop("alive", "mixed", "windows")
+    scratch.drop("alive", "mixed", "windows", "twice")
     scratch.release()
     joined = rows.join(
         covered.withColumnsRenamed({"doc_id": "d", "h": "g"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")), "left"
