@@ -40,7 +40,6 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = 50
     gone = repeated_runs(docs, scratch, min_lines, min_words).groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("runs"))
     gone = scratch.table(gone.withColumnsRenamed({"d": "gd", "h": "gh"}), "gone")
     scratch.drop("lines", *(f"ranks-{1 << i}" for i in range(min_lines.bit_length())), *(f"runs-{1 << i}" for i in range(min_lines.bit_length())))
-    scratch.release()
     names = docs.columns
     boxed = docs.select(F.struct(*[_quoted(c) for c in names]).alias("row"), F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"))
     joined = boxed.join(gone, F.col("d").eqNullSafe(F.col("gd")) & (F.col("h") == F.col("gh")), "left")

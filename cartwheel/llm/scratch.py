@@ -7,13 +7,15 @@ so a lost executor costs a re-read and never a recomputation from the start.
 
 from __future__ import annotations
 
-import gc
 from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
+#: Spark then deletes an execution's shuffle files at its end, not when the driver's garbage is collected.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 class Scratch:
     """A folder of intermediate tables for one call of one operator.
@@ -28,8 +30,14 @@ class Scratch:
         self.root = scratch_path(spark, name)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` and read it back; the shuffle files of the write go when it ends."""
         path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEAN_SHUFFLES, "false")
+        self.spark.conf.set(CLEAN_SHUFFLES, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEAN_SHUFFLES, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
@@ -39,15 +47,6 @@ class Scratch:
             path = hadoop(f"{self.root}/{name}")
             path.getFileSystem(conf).delete(path, True)
 
-    def release(self) -> None:
-        """Let Spark delete the shuffle files of the steps that are done.
-
-        Its cleaner drops a shuffle once the driver's garbage collector has
-        found its plan unreachable, which otherwise happens by chance.
-        """
-        gc.collect()
-        self.spark._jvm.System.gc()
-
 
 def worker_state() -> dict:
     """A dict that lives as long as a Python worker: caches outlast a task there.
