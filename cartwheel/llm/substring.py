@@ -8,14 +8,17 @@ a match: each ``length``-byte window names the position of its smallest hashed
 equal anchors at equal offsets, and one anchor stands for about 80 windows.
 
 Ranks then double over anchor positions, Spark sorting and grouping the
-position-rank pairs of each round:
-
-1. rank of the gram at the anchor. Unique: none of its windows repeats, done.
-2. rank of the whole stretch of windows that the anchor stands for (up to
-   about twice ``length`` bytes). Not unique: all its windows repeat, done.
-3. only anchors whose gram repeats in different stretches are left, at the
-   edges of copied passages. Their windows are ranked one by one at full
-   ``length``; those with a rank seen twice repeat.
+position-rank pairs of each round. A round looks at sets of windows and ranks
+two strings of each: its *core*, which all its windows share, and its *hull*,
+which they fill.
+
+* A core seen once: none of the windows repeats, done.
+* A hull seen twice: all of the windows repeat, done; one set of the class
+  goes on if its core is also in other hulls.
+* The rest, at the edges of copied passages, goes to the next round with
+  longer cores: the gram of an anchor (32 bytes), then ``STEP`` neighbouring
+  offsets of it (185 bytes), then single windows (200 bytes), where a rank
+  seen twice is a repeat.
 
 Ranks are 64-bit fingerprints of the bytes, so a rank needs no lookup of the
 ranks one offset further: the pair is hashed where the text is.
@@ -36,8 +39,9 @@ from .textkernel import int64, prefix_hash, slices, span_hash
 
 LENGTH = 200
 GRAM = 32
-_EDGE = pa.list_(pa.struct([("a", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32()), ("gram", pa.int64()), ("stretch", pa.int64())]))
-_EDGE_SQL = "array<struct<a:int,lo:int,hi:int,gram:bigint,stretch:bigint>>"
+STEP = 16
+_SETS = [pa.field("a", pa.int32()), pa.field("lo", pa.int32()), pa.field("hi", pa.int32()), pa.field("core", pa.int64()), pa.field("hull", pa.int64())]
+_SETS_SQL = "array<struct<a:int,lo:int,hi:int,core:bigint,hull:bigint>>"
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_text: bool = True) -> DataFrame:
@@ -52,52 +56,37 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     window; an empty table gives an empty table. Matches never cross texts and
     are judged on the input.
     """
-    if not 0 < gram <= length:
-        raise ValueError("gram must be between 1 and length")
+    if not 0 < gram <= length or length < STEP:
+        raise ValueError(f"gram must be between 1 and length, and length at least {STEP}")
     scratch = Scratch(docs.sparkSession, "substring")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("h"), "text")
 
     nested = scratch.table(
-        rows.mapInArrow(_anchors(length, gram), f"doc_id bigint, h bigint, anchors {_EDGE_SQL}"), "anchors"
+        rows.mapInArrow(_anchors(length, gram), f"doc_id bigint, h bigint, sets {_SETS_SQL}"), "anchors"
     )
-    anchors = nested.select("doc_id", "h", F.inline("anchors"))
+    anchors = nested.select("doc_id", "h", F.inline("sets"))
+    whole, open_sets = _round(anchors, scratch, "round-1")
+    scratch.drop("anchors")
 
-    # Rounds 1 and 2: grams seen once go; a gram with one stretch only is settled.
-    ranks = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), (F.min("stretch") == F.max("stretch")).alias("same"))
-    # Tables of their own: joins on a frequent rank can then be split.
-    ranks = scratch.table(ranks.filter("n > 1").drop("n"), "ranks")
-    alive = scratch.table(anchors.join(ranks, "gram"), "alive")
-    scratch.drop("anchors", "ranks")
-    scratch.release()
-    stretches = (
-        alive.filter("NOT same")
-        .groupBy("gram", "stretch")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "h", "a", "lo", "hi")).alias("one"))
-    )
-    mixed = scratch.table(stretches, "mixed")
-    whole = alive.filter("same").select("doc_id", "h", "lo", "hi").unionByName(
-        alive.filter("NOT same").join(mixed.filter("n > 1").select("gram", "stretch"), ["gram", "stretch"], "left_semi").select("doc_id", "h", "lo", "hi")
+    nested = scratch.table(
+        _with_text(rows, open_sets).mapInArrow(_steps(length), f"doc_id bigint, h bigint, sets {_SETS_SQL}"), "steps"
     )
+    steps = nested.select("doc_id", "h", F.inline("sets"))
+    more, open_sets = _round(steps, scratch, "round-2")
+    scratch.drop("steps")
 
-    # Round 3: one anchor of each remaining stretch, window by window.
-    todo = mixed.select("one.*").groupBy("doc_id", "h").agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
-    ranked = rows.join(todo.withColumnsRenamed({"doc_id": "d", "h": "g"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")))
     windows = scratch.table(
-        ranked.select("doc_id", "h", "text", "runs").mapInArrow(
-            _windows(length), "doc_id bigint, h bigint, s array<int>, rank array<bigint>"
-        ),
-        "windows",
+        _with_text(rows, open_sets).mapInArrow(_windows(length), "doc_id bigint, h bigint, s array<int>, rank array<bigint>"), "windows"
     )
     flat = windows.select("doc_id", "h", F.inline(F.arrays_zip("s", "rank")))
     twice = scratch.table(flat.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "twice")
     single = flat.join(twice, "rank").select("doc_id", "h", F.col("s").alias("lo"), (F.col("s") + 1).alias("hi"))
 
     covered = scratch.table(
-        whole.unionByName(single).groupBy("doc_id", "h").agg(F.collect_set(F.struct("lo", "hi")).alias("runs")), "covered"
+        whole.unionByName(more).unionByName(single).groupBy("doc_id", "h").agg(F.collect_set(F.struct("lo", "hi")).alias("runs")), "covered"
     )
-    scratch.drop("alive", "mixed", "windows", "twice")
-    scratch.release()
+    scratch.drop("round-1-alive", "round-1-classes", "round-2-alive", "round-2-classes", "windows", "twice")
     joined = rows.join(
         covered.withColumnsRenamed({"doc_id": "d", "h": "g"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")), "left"
     )
@@ -106,6 +95,27 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     return joined.select("doc_id", "text", "runs").mapInArrow(_cut(length, keep_text), schema)
 
 
+def _round(sets: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
+    """The window runs that repeat whole, and one set of each class that is still open."""
+    ranks = sets.groupBy("core").agg(F.count(F.lit(1)).alias("n"), (F.min("hull") == F.max("hull")).alias("same"))
+    # Tables of their own: joins on a frequent rank can then be split.
+    ranks = scratch.table(ranks.filter("n > 1").drop("n"), f"{name}-ranks")
+    alive = scratch.table(sets.join(ranks, "core"), f"{name}-alive")
+    scratch.drop(f"{name}-ranks")
+    mixed = alive.filter("NOT same")
+    one = F.min(F.struct("doc_id", "h", "a", "lo", "hi")).alias("one")
+    classes = scratch.table(mixed.groupBy("core", "hull").agg(F.count(F.lit(1)).alias("n"), one), f"{name}-classes")
+    twice = mixed.join(classes.filter("n > 1").select("core", "hull"), ["core", "hull"], "left_semi")
+    settled = alive.filter("same").select("doc_id", "h", "lo", "hi").unionByName(twice.select("doc_id", "h", "lo", "hi"))
+    return settled, classes.select("one.*")
+
+
+def _with_text(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``doc_id, h, text, sets`` of the texts that have any."""
+    own = sets.groupBy(F.col("doc_id").alias("d"), F.col("h").alias("g")).agg(F.collect_set(F.struct("lo", "hi", "a")).alias("sets"))
+    return rows.join(own, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g"))).select("doc_id", "h", "text", "sets")
+
+
 def _smallest(keys: np.ndarray, width: int) -> np.ndarray:
     """The minimum of every run of ``width`` neighbours, by doubling."""
     have, m = 1, keys
@@ -117,8 +127,15 @@ def _smallest(keys: np.ndarray, width: int) -> np.ndarray:
     return m
 
 
+def _nested(counts: np.ndarray, parts: list[np.ndarray]) -> pa.Array:
+    offsets = np.zeros(len(counts) + 1, np.int32)
+    offsets[1:] = np.cumsum(counts)
+    value = pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(parts, _SETS, strict=True)], fields=_SETS)
+    return pa.ListArray.from_arrays(pa.array(offsets), value)
+
+
 def _anchors(length: int, gram: int):
-    """Per text: each anchor, the window starts ``[lo, hi)`` it stands for, and its two ranks."""
+    """The sets of round 1: each anchor, the window starts ``[lo, hi)`` it stands for, and its two ranks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,23 +167,45 @@ def _anchors(length: int, gram: int):
                     counts = np.bincount(row, minlength=t.n)
                     base = t.off[row]
                     parts = [a - base, lo - base, hi - base, int64(grams[a]), int64(stretch)]
-                offsets = np.zeros(t.n + 1, np.int32)
-                offsets[1:] = np.cumsum(counts)
-                fields = list(_EDGE.value_type)
-                value = pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(parts, fields, strict=True)], fields=fields)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), value)
-                yield pa.RecordBatch.from_arrays([doc.slice(t.first, t.n), h.slice(t.first, t.n), lists], ["doc_id", "h", "anchors"])
+                yield pa.RecordBatch.from_arrays([doc.slice(t.first, t.n), h.slice(t.first, t.n), _nested(counts, parts)], ["doc_id", "h", "sets"])
 
     return run
 
 
-def _runs(column: pa.Array, row: int) -> np.ndarray:
-    """The ``[lo, hi)`` pairs of a row, as an array of two columns."""
+def _runs(column: pa.Array, row: int, fields: int = 2) -> np.ndarray:
+    """The structs of a row's list as an array of one column for each field; ``lo, hi`` come first."""
     item = column[row]
     if not item.is_valid:
-        return np.zeros((0, 2), np.int64)
-    values = item.values
-    return np.stack([values.field(0).to_numpy(zero_copy_only=False), values.field(1).to_numpy(zero_copy_only=False)], 1).astype(np.int64).reshape(-1, 2)
+        return np.zeros((0, fields), np.int64)
+    return np.stack([item.values.field(k).to_numpy(zero_copy_only=False) for k in range(fields)], 1).astype(np.int64)
+
+
+def _steps(length: int):
+    """The sets of round 2: up to ``STEP`` neighbouring offsets of the listed anchors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in slices(batch.column(2)):
+                prefix = prefix_hash(t.buf)
+                lists = [_runs(batch.column(3), t.first + i, 3) for i in range(t.n)]
+                base = np.repeat(t.off[:-1], [len(x) for x in lists])
+                row = np.repeat(np.arange(t.n), [len(x) for x in lists])
+                lo, hi, a = (np.concatenate(lists) + base[:, None]).T
+                # Offsets of the anchor in its windows: from a - hi + 1 to a - lo; cut on a grid of STEP.
+                first, last = (a - hi + 1) // STEP, (a - lo) // STEP
+                n = last - first + 1
+                each = np.repeat(np.arange(len(n)), n)
+                q = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n) + first[each]
+                a, lo, hi, row, base = a[each], lo[each], hi[each], row[each], base[each]
+                lo, hi = np.maximum(lo, a - q * STEP - STEP + 1), np.minimum(hi, a - q * STEP + 1)
+                core = span_hash(prefix, a - q * STEP, a - q * STEP - STEP + 1 + length) + q.astype(np.uint64)
+                hull = span_hash(prefix, lo, hi - 1 + length) + (a - lo).astype(np.uint64)
+                parts = [a - base, lo - base, hi - base, int64(core), int64(hull)]
+                counts = np.bincount(row, minlength=t.n)
+                columns = [batch.column(k).slice(t.first, t.n) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*columns, _nested(counts, parts)], ["doc_id", "h", "sets"])
+
+    return run
 
 
 def _windows(length: int):
