@@ -12,26 +12,33 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Compare = Callable[[pa.Table, np.ndarray], pa.RecordBatch]
 
 
-def compare_in_blocks(rows: DataFrame, bucket: str, member: str, payload: DataFrame, size: int, compare: Compare, schema: str) -> DataFrame:
+def compare_in_blocks(rows: DataFrame, bucket: str, member: str, payload: DataFrame, size: int, compare: Compare, schema: str, main: Column | None = None) -> DataFrame:
     """Run ``compare`` over all block pairs of all buckets.
 
     ``rows(bucket, member, ..., n)`` holds each membership once, ``n`` being
     the bucket's number of members; ``payload`` adds columns by ``member``.
+    Members for which ``main`` is true need no comparison with each other; then
+    ``n`` counts the others, and a column ``n_main`` these.
     ``compare(table, cuts)`` gets whole groups: rows ``cuts[i]:cuts[i+1]`` of
     ``table`` are group ``i``, at most ``2 * size`` rows. Rows carry ``own``,
     their block; a pair of different blocks concerns only pairs across.
     """
-    blocks = F.ceil(F.col("n") / F.lit(size)).cast("int")
-    own = F.pmod(F.xxhash64(F.col(member), F.lit(11)), blocks.cast("bigint")).cast("int")
-    dealt = rows.withColumn("own", own).withColumn(
-        "pair", F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(k, "own").alias("i"), F.greatest(k, "own").alias("j"))))
-    )
+    main = F.lit(False) if main is None else main
+    others, mains = (F.ceil(F.col(c) / F.lit(size)).cast("int") for c in ("n", "n_main"))
+    deal = lambda count: F.pmod(F.xxhash64(F.col(member), F.lit(11)), count.cast("bigint")).cast("int")
+    upto = lambda count: F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    pair = lambda x, y: F.struct(F.least(x, y).alias("i"), F.greatest(x, y).alias("j"))
+    sized = rows.withColumn("main", main) if "n_main" in rows.columns else rows.withColumn("main", main).withColumn("n_main", F.lit(0))
+    # Blocks of the main members are numbered after the others'; main blocks meet the others only.
+    dealt = sized.withColumn("own", F.when(F.col("main"), others + deal(mains)).otherwise(deal(others)))
+    met = F.when(F.col("main"), upto(others)).otherwise(upto(others + mains))
+    dealt = dealt.withColumn("pair", F.explode(F.transform(met, lambda k: pair(k, F.col("own")))))
     dealt = dealt.select(*rows.columns, "own", F.col("pair.i").alias("bi"), F.col("pair.j").alias("bj")).join(payload, member)
     keys = [bucket, "bi", "bj"]
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_grouped(keys, compare), schema)

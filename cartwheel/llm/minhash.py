@@ -35,7 +35,7 @@ WIDTH = 6
 BANDS = 48
 REGISTERS = WIDTH * BANDS
 MANTISSA = 10
-BLOCK = 96
+BLOCK = 192
 #: Two different values share a register with about this probability (HyperMinHash: 6 and 10 bits).
 COLLISION = 0.17 / 2**MANTISSA
 #: Candidates estimated this far under the threshold are not checked: six standard deviations of the estimate.
@@ -69,7 +69,6 @@ def near_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     heads = scratch.table(member.groupBy("bucket").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "heads")
     shared = scratch.table(member.join(heads, "bucket").select("bucket", "t", "id", "head"), "shared")
     scratch.drop("bands", "heads")
-    scratch.release()
 
     # Against the head of each bucket.
     registers = sketch.select("id", "n_shingles", "registers")
@@ -96,17 +95,18 @@ def near_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     )
     links = scratch.table(confirmed, "star-links")
     first = connected_components(links, scratch, "first")
-    scratch.release()
 
     # Across the components that still share a bucket.
     labelled = shared.join(first.withColumnRenamed("node", "id"), "id", "left").select("bucket", "t", "id", F.coalesce("component", "id").alias("component"))
     labelled = scratch.table(labelled, "labelled")
-    ends = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
-    split = scratch.table(ends.filter("lo < hi").select("bucket", "n"), "split")
-    open_rows = labelled.join(split, "bucket").select("bucket", "t", "id", "component", "n")
+    # The component with most members of a bucket is its main one: no pairs inside it.
+    parts = labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k"))
+    split = parts.groupBy("bucket").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("all"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    split = scratch.table(split.select("bucket", F.col("top.component").alias("top"), (F.col("all") - F.col("top.k")).alias("n"), F.col("top.k").alias("n_main")), "split")
+    open_rows = labelled.join(split, "bucket").select("bucket", "t", "id", "component", "top", "n", "n_main")
     payload = sets.join(sketch.select("id", "bands"), "id")
     more = scratch.table(
-        compare_in_blocks(open_rows, "bucket", "id", payload, BLOCK, _across(percent), "a bigint, b bigint"), "block-links"
+        compare_in_blocks(open_rows, "bucket", "id", payload, BLOCK, _across(percent), "a bigint, b bigint", F.col("component") == F.col("top")), "block-links"
     )
     component = connected_components(links.unionByName(more), scratch, "all")
 
@@ -122,7 +122,6 @@ def near_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     )
     result = scratch.table(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "result")
     scratch.drop("sketches", "reps", "shared", "labelled", "split", "likely", "sets", "star-links", "block-links", "sets-named")
-    scratch.release()
     return result
 
 
