@@ -42,7 +42,8 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = 50
     scratch.drop("lines", *(f"ranks-{1 << i}" for i in range(min_lines.bit_length())), *(f"runs-{1 << i}" for i in range(min_lines.bit_length())))
     names = docs.columns
     boxed = docs.select(F.struct(*[_quoted(c) for c in names]).alias("row"), F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"))
-    joined = boxed.join(gone, F.col("d").eqNullSafe(F.col("gd")) & (F.col("h") == F.col("gh")), "left")
+    # Grows with the corpus: never broadcast, at any size.
+    joined = boxed.join(gone.hint("merge"), F.col("d").eqNullSafe(F.col("gd")) & (F.col("h") == F.col("gh")), "left")
     # Line numbers of all runs in one flat, sorted list, so each line looks itself up once.
     dead = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["first"], r["last"]))))
     left = F.array_except(F.sequence(F.lit(0), F.size(F.split("row.text", "\n", -1)) - 1), dead)
