@@ -88,7 +88,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     )
     scratch.drop("round-1-alive", "round-1-classes", "round-2-alive", "round-2-classes", "windows", "twice")
     joined = rows.join(
-        covered.withColumnsRenamed({"doc_id": "d", "h": "g"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")), "left"
+        covered.withColumnsRenamed({"doc_id": "d", "h": "g"}).hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")), "left"
     )
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:int,end:int>>, kept_sha256 string"
     schema += ", kept binary" if keep_text else ""
@@ -113,7 +113,7 @@ def _round(sets: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, Dat
 def _with_text(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """``doc_id, h, text, sets`` of the texts that have any."""
     own = sets.groupBy(F.col("doc_id").alias("d"), F.col("h").alias("g")).agg(F.collect_set(F.struct("lo", "hi", "a")).alias("sets"))
-    return rows.join(own, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g"))).select("doc_id", "h", "text", "sets")
+    return rows.join(own.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g"))).select("doc_id", "h", "text", "sets")
 
 
 def _smallest(keys: np.ndarray, width: int) -> np.ndarray:

@@ -24,7 +24,7 @@ def _with(docs: DataFrame, wanted: DataFrame, once: bool = False) -> DataFrame:
     names = docs.columns
     boxed = docs.select(F.struct(*["`" + c.replace("`", "``") + "`" for c in names]).alias("row"), F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"))
     keys = wanted.select(F.col("doc_id").alias("wd"), F.col("text_hash").alias("wh")).distinct()
-    rows = boxed.join(keys, F.col("d").eqNullSafe(F.col("wd")) & (F.col("h") == F.col("wh")), "left_semi")
+    rows = boxed.join(keys.hint("merge"), F.col("d").eqNullSafe(F.col("wd")) & (F.col("h") == F.col("wh")), "left_semi")
     if once:
         rows = rows.dropDuplicates(["d", "h"])
     return rows.select("row.*")
