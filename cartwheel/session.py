@@ -118,24 +118,3 @@ def local_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:") :]
     return os.fspath(path)
-
-
-def min_parallelism(df, *keys: str, partitions: int | None = None):
-    """Spread ``df`` over at least ``partitions`` tasks (default: the session's
-    default parallelism) when its scan yields fewer.
-
-    A small input stored as one row group scans in one task, and everything
-    up to the first shuffle then runs on one core. A large input already has
-    one split per ``spark.sql.files.maxPartitionBytes`` and is returned as it
-    is, so this adds a shuffle only where the input is small. With ``keys``
-    the rows are hash-partitioned on them (deterministic on retry without the
-    local sort a round-robin spread needs); pick keys with many values.
-    """
-    try:
-        target = partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no SparkContext or RDD view (remote clients): leave as is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -24,6 +24,7 @@ from ..plans.reuse import kept
 from ..schema import TABLE_COLUMNS
 
 _TARGET_PROPERTY = "cartwheel.published_table"
+_PREVIOUS_PROPERTY = "cartwheel.previous_table"
 
 
 def table_ddl(name: str, columns=TABLE_COLUMNS, using: str = "parquet") -> str:
@@ -57,35 +58,33 @@ def check_new_keys(
 ) -> dict:
     """Refuse a batch whose ``key`` is NULL, repeats, or is already in ``name``.
 
-    One job: the batch and the table's key column (only that column is read)
-    are each reduced to one row per key (partial and final aggregates, so a
-    hot key costs one row per task on either side), left-joined on the key
-    and summarised in one aggregate. Both sides come out of their aggregates
-    hash-partitioned by the key, so the join adds no exchange; Spark
-    broadcasts a side instead only when its own size estimate allows.
-
-    With ``prune_by_range`` a small job first takes the batch's smallest and
-    largest key, and the table is read only within that range: the bounds
-    reach the Parquet scan, which skips every row group whose statistics lie
-    outside. The test stays exact (a key outside the range cannot match), and
-    a table loaded in key order is then read only near the batch, not whole.
-    Pass a staged or cheap ``df``; the range job reads it once more.
+    The batch alone is reduced to one row per key to count NULL and repeated
+    keys. The table's key column (only that column is read) is then streamed
+    past the batch's keys in a left semi join: Spark broadcasts the batch, the
+    right side, when its size estimate allows, and the table is not shuffled;
+    a large batch gets a shuffle join.
+
+    With ``prune_by_range`` the table is read only between the batch's
+    smallest and largest key: the bounds reach the Parquet scan, which skips
+    every row group whose statistics lie outside. The test stays exact (a key
+    outside the range cannot match). Pass a staged or cheap ``df``: it is read
+    twice. The check and a later insert are two steps, so two loads at once
+    can both pass.
     """
-    existing = spark.table(name).select(F.col(key).alias("__existing"))
-    if prune_by_range:
-        lo, hi = df.agg(F.min(key), F.max(key)).first()
-        if lo is not None:
-            existing = existing.filter(F.col("__existing").between(F.lit(lo), F.lit(hi)))
-    batch = df.groupBy(key).agg(F.count(F.lit(1)).alias("__copies"))
-    # Distinct table keys: a key repeated in the table collapses per task before
-    # the shuffle, and the join reuses that partitioning (no extra exchange).
-    existing = existing.distinct()
-    joined = batch.join(existing, batch[key] == existing["__existing"], "left")
-    report = joined.agg(
+    copies = df.groupBy(key).agg(F.count(F.lit(1)).alias("__copies"))
+    report = copies.agg(
         F.count_if(F.col(key).isNull()).alias("null_keys"),
         F.count_if(F.col(key).isNotNull() & (F.col("__copies") > 1)).alias("repeated_keys"),
-        F.count_if(F.col("__existing").isNotNull()).alias("existing_keys"),
+        F.min(key).alias("lo"),
+        F.max(key).alias("hi"),
     ).first().asDict()
+    lo, hi = report.pop("lo"), report.pop("hi")
+    existing = spark.table(name).select(F.col(key).alias("__existing"))
+    if prune_by_range and lo is not None:
+        existing = existing.filter(F.col("__existing").between(F.lit(lo), F.lit(hi)))
+    keys = df.select(F.col(key).alias("__key"))
+    hits = existing.join(keys, F.col("__existing") == F.col("__key"), "left_semi")
+    report["existing_keys"] = hits.agg(F.count_distinct("__existing").alias("n")).first()["n"]
     if report["null_keys"]:
         raise QualityError(f"NULL {key} in the batch; nothing was written")
     if report["repeated_keys"]:
@@ -120,10 +119,23 @@ def _insert(df: DataFrame, spark: SparkSession, name: str) -> int:
 
 
 def ctas_replace(df: DataFrame, name: str) -> int:
-    """K4: drop and recreate ``name`` from ``df`` (re-runnable); rows written."""
+    """K4: recreate ``name`` from ``df`` (re-runnable); rows written.
+
+    The rows go to a table of their own first, which takes the name once the
+    write has succeeded: a failing query leaves the old table as it is.
+    Readers that opened the old table before the swap lose its files.
+    """
     check_table_name(name)
+    spark = df.sparkSession
+    fresh = f"{name}__new_{uuid.uuid4().hex[:10]}"
     obs = Observation(f"ctas_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("parquet").saveAsTable(name)
+    try:
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format("parquet").saveAsTable(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
     return int(obs.get.get("rows", 0))
 
 
@@ -132,7 +144,8 @@ def publish_table(df: DataFrame, view: str, columns: Sequence[str] | None = None
 
     Readers of ``view`` see the old rows until the view is replaced and the
     new rows right after; there is no moment with no view, unlike drop then
-    create. The table the view used before is dropped afterwards. With
+    create. The table the view used before is kept, so readers that opened it
+    can finish; the one before that is dropped. With
     ``columns`` the view shows only those (the table may keep more, such as
     the parts an incremental refresh needs). Returns the new table's name and
     its row count.
@@ -142,15 +155,19 @@ def publish_table(df: DataFrame, view: str, columns: Sequence[str] | None = None
     check_identifier(base, "view")
     version = f"{base}__v{uuid.uuid4().hex[:12]}"
     table = f"{schema}.{version}" if schema else version
-    previous = _view_target(spark, view)
+    previous, oldest = _view_target(spark, view), _view_target(spark, view, _PREVIOUS_PROPERTY)
     rows = ctas_replace(df, table)
     shown = ", ".join(check_identifier(c, "column") for c in columns) if columns else "*"
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{_TARGET_PROPERTY}' = '{table}') "
-        f"AS SELECT {shown} FROM {table}"
-    )
-    if previous and previous != table:
-        spark.sql(f"DROP TABLE IF EXISTS {previous}")
+    try:
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{_TARGET_PROPERTY}' = '{table}', "
+            f"'{_PREVIOUS_PROPERTY}' = '{previous or ''}') AS SELECT {shown} FROM {table}"
+        )
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        raise
+    if oldest and oldest not in (table, previous):
+        spark.sql(f"DROP TABLE IF EXISTS {oldest}")
     return table, rows
 
 
@@ -159,10 +176,10 @@ def published_table(spark: SparkSession, view: str) -> str | None:
     return _view_target(spark, view)
 
 
-def _view_target(spark: SparkSession, view: str) -> str | None:
-    """The table a published view points at, from the view's own property."""
+def _view_target(spark: SparkSession, view: str, which: str = _TARGET_PROPERTY) -> str | None:
+    """The table a published view points at (or pointed at), from the view's own properties."""
     if not spark.catalog.tableExists(view):
         return None
     rows = spark.sql(f"SHOW TBLPROPERTIES {view}").collect()
     props = {r["key"]: r["value"] for r in rows}
-    return props.get(_TARGET_PROPERTY)
+    return props.get(which) or None

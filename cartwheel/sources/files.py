@@ -29,8 +29,9 @@ CSV_READ_OPTIONS: dict[str, str] = {
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file or directory with a header, all columns as strings.
 
-    Columns are named from the header, so extra or reordered columns are
-    fine; the jobs then select by name and report missing ones.
+    Columns are named from the first file's header, so extra columns and any
+    order are fine, as long as all files agree: a file whose header differs
+    fails the read. The jobs select by name and report missing columns.
     """
     return spark.read.options(**CSV_READ_OPTIONS).csv(path)
 
@@ -40,16 +41,15 @@ def register_csv_table(
     name: str,
     path: str,
     infer: bool = True,
-    sampling_ratio: float = 1.0,
     timestamps_without_zone: bool = True,
 ) -> DataFrame:
     """Register CSV files as a catalog table with an inferred schema.
 
-    Inference is one extra distributed pass over the files at registration
-    (``sampling_ratio`` below 1 reads a sample; a value that does not fit the
-    type inferred from the sample then reads as NULL, which the load's gate
-    refuses for required columns). With ``infer=False`` every column is text,
-    which the loads accept just as well, and no pass is made.
+    Inference is one extra distributed pass over all the files at registration.
+    With ``infer=False`` every column is text, which the loads accept just as
+    well, and no pass is made. Registering a name again replaces its
+    definition and infers anew (the files are untouched), as a second crawl
+    of a changed location does.
 
     With ``timestamps_without_zone`` timestamp columns are inferred as
     ``TIMESTAMP_NTZ`` (the session setting is changed for the registration
@@ -57,11 +57,10 @@ def register_csv_table(
     written in the files whatever the session time zone.
     """
     check_table_name(name)
-    if not 0 < sampling_ratio <= 1:
-        raise ValueError("sampling_ratio must be in (0, 1]")
+    _drop_external(spark, name)
     statement = (
-        f"CREATE TABLE IF NOT EXISTS {name} USING csv "
-        f"OPTIONS (header 'true', inferSchema '{str(infer).lower()}', samplingRatio '{sampling_ratio}') "
+        f"CREATE TABLE {name} USING csv "
+        f"OPTIONS (header 'true', inferSchema '{str(infer).lower()}') "
         f"LOCATION '{_quote(path)}'"
     )
     if infer and timestamps_without_zone:
@@ -85,13 +84,25 @@ def _session_setting(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, previous)
 
 
+def _drop_external(spark: SparkSession, name: str) -> None:
+    """Forget an external table's definition; a managed table, whose files would go, is refused."""
+    if not spark.catalog.tableExists(name):
+        return
+    if spark.catalog.getTable(name).tableType != "EXTERNAL":
+        raise ValueError(f"{name} exists and is no external table")
+    spark.sql(f"DROP TABLE {name}")
+
+
 def register_parquet_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Register a (partitioned) Parquet dataset and find its partitions.
 
     Partition columns come from the ``col=value`` directories; until
     ``recoverPartitions`` runs, a partitioned external table reads as empty.
+    Registering a name again replaces its definition and finds the partitions
+    anew; the files are untouched.
     """
     check_table_name(name)
+    _drop_external(spark, name)
     spark.catalog.createTable(name, path=path, source="parquet")
     if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)

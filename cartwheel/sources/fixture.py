@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import min_parallelism
 
 _COLUMNS = """
   CASE WHEN o_orderkey % 97 = 0 THEN NULL
@@ -63,8 +62,8 @@ SPARK_RAW_ORDERS_SQL = (
 
 
 def tpch_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's ``orders`` table, spread over all cores when it is one small split."""
-    return min_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet"), "o_orderkey")
+    """The driver's ``orders`` table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -175,3 +175,26 @@ def test_w3_incremental_revenue_equals_full_rebuild(spark, out, db):
     assert got == want
     assert spark.table(view).columns == ["city", "order_count", "total_revenue", "average_order_value"]
     assert sum(r.order_count for r in spark.table(view).collect()) == 2 * tidy_orders(source).count()
+
+
+def test_w3_incremental_revenue_after_a_crash_is_rebuilt(spark, out, db):
+    from cartwheel.operators import city_revenue
+    from cartwheel.plans.jobs import tidy_load
+
+    write_csv(raw_orders(spark, SF001), out, mode="overwrite")
+    source, table, view = read_raw_csv(spark, out), f"{db}.orders_tidy", f"{db}.city_wise_revenue"
+    city_revenue_job(spark, source, table, view, incremental=True)
+    tidy_load(spark, source, table)  # appended, then the job died before its publish
+    _, revenue = city_revenue_job(spark, source, table, view, incremental=True)
+    assert revenue.details["mode"] == "full"
+    got = sorted(tuple(r) for r in spark.table(view).collect())
+    assert got == sorted(tuple(r) for r in city_revenue(spark.table(table)).collect())
+
+
+def test_w1_default_load_refuses_its_own_batch_again(spark, db):
+    from cartwheel.plans.registry import passes_gate
+
+    source = passes_gate(raw_orders(spark, SF001))
+    load_orders(spark, source, f"{db}.orders")
+    with pytest.raises(QualityError, match="already present"):
+        load_orders(spark, source, f"{db}.orders")

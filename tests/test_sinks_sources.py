@@ -212,8 +212,43 @@ def test_k5_publish_replaces_without_gap(spark, db):
     second, _ = publish_table(spark.range(5).withColumnRenamed("id", "n"), view)
     assert spark.table(view).count() == 5
     assert first != second
-    assert not spark.catalog.tableExists(first)
-    assert spark.catalog.tableExists(second)
+    # The version before stays for its readers; it goes with the next publish.
+    assert spark.catalog.tableExists(first) and spark.catalog.tableExists(second)
+    publish_table(spark.range(6).withColumnRenamed("id", "n"), view)
+    assert not spark.catalog.tableExists(first) and spark.catalog.tableExists(second)
+
+
+def test_k4_failed_replace_keeps_the_old_table(spark, db):
+    from cartwheel.sinks.tables import ctas_replace
+
+    ctas_replace(spark.range(4), f"{db}.t")
+    bad = spark.range(3).select(F.expr("IF(id < 9, raise_error('no'), id)").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        ctas_replace(bad, f"{db}.t")
+    assert spark.table(f"{db}.t").count() == 4
+    assert ctas_replace(spark.range(2), f"{db}.t") == 2 and spark.table(f"{db}.t").count() == 2
+
+
+def test_k1_key_check_does_not_shuffle_the_table(spark, db):
+    spark.range(50_000).withColumnRenamed("id", "k").write.saveAsTable(f"{db}.history")
+    batch = spark.range(60_000, 60_005).withColumnRenamed("id", "k")
+    keys = batch.select(F.col("k").alias("__key"))
+    hits = spark.table(f"{db}.history").select(F.col("k").alias("__existing")).join(keys, F.col("__existing") == F.col("__key"), "left_semi")
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_s4_s5_register_twice_after_a_change(spark, out, db):
+    from cartwheel.sources.files import register_csv_table, register_parquet_table
+
+    spark.range(3).write.csv(f"{out}/a", header=True)
+    spark.range(3).selectExpr("id", "id * 2 AS extra").write.csv(f"{out}/b", header=True)
+    assert register_csv_table(spark, f"{db}.c", f"{out}/a").columns == ["id"]
+    assert register_csv_table(spark, f"{db}.c", f"{out}/b").columns == ["id", "extra"]
+    spark.range(3).selectExpr("id", "id AS month").write.partitionBy("month").parquet(f"{out}/p")
+    assert register_parquet_table(spark, f"{db}.p", f"{out}/p").count() == 3
+    spark.range(3, 5).selectExpr("id", "id AS month").write.mode("append").partitionBy("month").parquet(f"{out}/p")
+    assert register_parquet_table(spark, f"{db}.p", f"{out}/p").count() == 5
 
 
 def test_k1_key_check_range_reaches_scan_and_stays_exact(spark, db):
