@@ -178,7 +178,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 def _pack_group(capacity: int):
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "uid"], ascending=[False, True], kind="stable")
         bins = improve(best_fit(rows["length"].to_numpy(), capacity), rows["length"].tolist(), capacity)
         lengths = rows["length"].to_numpy()
