@@ -32,6 +32,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\t-\r]+")
 _MARK = re.compile(r"[0-9@]")
+#: A word with a mark; the look-behind lets each word be tried from its beginning only.
+_MARKED = re.compile(r"(?<![^\x20\t-\r])[^\x20\t-\r0-9@]*+[0-9@][^\x20\t-\r]*+")
 _SPACE = " \t\n\x0b\x0c\r"
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
@@ -210,14 +212,15 @@ class CRF:
         return cls(index, emit, move)
 
     @staticmethod
-    def _features(words: list[str]) -> list[list[str]]:
-        own = [word_features(w) for w in words]
-        out = []
-        for t, f in enumerate(own):
-            around = [f"p:{x}" for x in own[t - 1][:4]] if t else ["p:none"]
-            around += [f"n:{x}" for x in own[t + 1][:2]] if t + 1 < len(own) else ["n:none"]
-            out.append([*f, *around])
-        return out
+    def _features(words: list[str]) -> Iterator[list[str]]:
+        """Features of one word after the other: its own, some of the word before and of the word after."""
+        before, own = None, word_features(words[0]) if words else None
+        for t in range(len(words)):
+            after = word_features(words[t + 1]) if t + 1 < len(words) else None
+            around = [f"p:{x}" for x in before[:4]] if before else ["p:none"]
+            around += [f"n:{x}" for x in after[:2]] if after else ["n:none"]
+            yield [*own, *around]
+            before, own = own, after
 
     @staticmethod
     def _marginals(score: np.ndarray, move: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -314,15 +317,8 @@ class CRF:
 
 def _windows(text: str) -> list[list[tuple[str, int]]]:
     """Runs of words with a digit or ``@``, and ``CONTEXT`` words around; runs that touch are one."""
-    marks = []
-    m = _MARK.search(text)
-    while m:
-        start = max(text.rfind(c, 0, m.start()) for c in _SPACE) + 1
-        word = _WORD.match(text, start)
-        marks.append((start, word.end()))
-        m = _MARK.search(text, word.end())
     out, last_end = [], -1
-    for start, end in marks:
+    for start, end in (m.span() for m in _MARKED.finditer(text)):
         between = text[last_end:start] if out else ""
         if out and len(between) < 80 and len(_WORD.findall(between)) <= 2 * CONTEXT:
             out[-1] = (out[-1][0], end)

@@ -300,6 +300,26 @@ def test_op2_field_learns_held_out_rows(spark):
     assert [(s.kind, s.start, s.end) for s in got[3].added] == [("card", 5, 21)]
 
 
+def test_op2_windows_hold_every_marked_word_and_stay_linear():
+    import time
+
+    from cartwheel.llm.pii import CRF, _windows, labelled_table
+
+    rng = random.Random(6)
+    parts = ["a", "1", "@", " ", "\n", "\x0b", "word", "é9", "\x85"]
+    for _ in range(2000):
+        t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))
+        held = {(w, at) for window in _windows(t) for w, at in window}
+        marked = {(m[0], m.start()) for m in WORD.finditer(t) if re.search("[0-9@]", m[0])}
+        assert marked <= held <= {(m[0], m.start()) for m in WORD.finditer(t)}
+    begin = time.perf_counter()
+    assert len(_windows("some plain words stand here between " * 5 + "x" * 300_000 + " 7 " + "and the rest of it " * 5)) == 1
+    many = "plain words with no mark at all, and so on, and on, and on, for more than that 12 " * 20_000
+    model = CRF.fit(labelled_table(rows=28), steps=5)
+    assert len(_windows(many)) == 20_000 and len(model.spans(["9 " * 30_000], [[]])) == 1
+    assert time.perf_counter() - begin < 60
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6, 7, 8, 9, 10])
 def test_empty_tables(spark, tmp_path, n):
     from cartwheel.llm.registry import QUERIES
