@@ -32,7 +32,7 @@ def main() -> None:
     wanted = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from cartwheel.plans.registry import QUERIES
-    from cartwheel.session import build_session
+    from cartwheel.session import build_session, release_scratch
 
     scratch = tempfile.mkdtemp(prefix="cartwheel-bench-")
     extra = {
@@ -56,7 +56,9 @@ def main() -> None:
     def run(name: str) -> float:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - t0
+        took = time.perf_counter() - t0
+        release_scratch(spark)
+        return took
 
     per_query: dict[str, float] = {}
     for name in names:

@@ -14,7 +14,7 @@ and pushes later filters on untouched columns into the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, parse, text
@@ -23,6 +23,21 @@ from .filters import keep_present
 from .quality import require_columns
 
 
+def conversions(df: DataFrame) -> dict[str, Column]:
+    """The typed expression of each of the nine columns, in order."""
+    return {
+        "order_id": parse.to_long(df, "order_id"),
+        "customer_id": parse.to_text(df, "customer_id"),
+        "order_date": parse.to_date(df, "order_date"),
+        "product_category": parse.to_text(df, "product_category"),
+        "city": parse.to_text(df, "city"),
+        "order_amount": parse.to_money(df, "order_amount"),
+        "order_status": parse.to_text(df, "order_status"),
+        "payment_status": parse.to_text(df, "payment_status"),
+        "updated_at": parse.to_timestamp(df, "updated_at"),
+    }
+
+
 def normalize_orders(df: DataFrame) -> DataFrame:
     """P1 + P3-P7: the fixed, ordered, typed select list of the strict load.
 
@@ -30,17 +45,7 @@ def normalize_orders(df: DataFrame) -> DataFrame:
     lacks any of the nine; extra columns are ignored.
     """
     require_columns(df, ORDER_COLUMNS, "source")
-    return df.select(
-        parse.to_long(df, "order_id").alias("order_id"),
-        parse.to_text(df, "customer_id").alias("customer_id"),
-        parse.to_date(df, "order_date").alias("order_date"),
-        parse.to_text(df, "product_category").alias("product_category"),
-        parse.to_text(df, "city").alias("city"),
-        parse.to_money(df, "order_amount").alias("order_amount"),
-        parse.to_text(df, "order_status").alias("order_status"),
-        parse.to_text(df, "payment_status").alias("payment_status"),
-        parse.to_timestamp(df, "updated_at").alias("updated_at"),
-    )
+    return df.select(*[value.alias(name) for name, value in conversions(df).items()])
 
 
 def tidy_orders(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import KEY_COLUMN, REQUIRED_COLUMNS, TEXT_BOUNDS, missing_columns
@@ -25,7 +25,7 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "source"
     """Q1: raise naming the missing columns, sorted, before any job runs."""
     missing = missing_columns(df.columns, tuple(required))
     if missing:
-        raise ValueError(f"The {what} is missing required columns: " + ", ".join(missing))
+        raise ValueError(f"{what} lacks: {', '.join(missing)}")
 
 
 def invalid_rows(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
@@ -48,6 +48,24 @@ def exists_flag(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.range(1).select(F.lit(exists(df)).alias(name))
 
 
+def report_columns(
+    required: Sequence[str] = REQUIRED_COLUMNS,
+    month: str | None = None,
+    bounds: dict[str, int] | None = None,
+) -> list[Column]:
+    """The aggregates of Q2/Q3 and, with ``bounds``, the overruns of Q5 (``over_<column>``).
+
+    They can be aggregated on their own or observed while a batch is written.
+    """
+    aggs = [F.count(F.lit(1)).alias("row_count")]
+    aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required]
+    aggs.append(F.count_if(any_null(required)).alias("invalid_rows"))
+    if month is not None:
+        aggs.append(F.count_if(F.col(month).isNull()).alias("null_month"))
+    aggs += [F.count_if(F.length(F.col(c)) > F.lit(n)).alias(f"over_{c}") for c, n in (bounds or {}).items()]
+    return aggs
+
+
 def quality_report(
     df: DataFrame,
     required: Sequence[str] = REQUIRED_COLUMNS,
@@ -58,38 +76,27 @@ def quality_report(
     ``invalid_rows`` counts rows with at least one required NULL; with
     ``month`` set, ``null_month`` counts rows whose month is NULL.
     """
-    aggs = [F.count(F.lit(1)).alias("row_count")]
-    aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required]
-    aggs.append(F.count_if(any_null(required)).alias("invalid_rows"))
-    if month is not None:
-        aggs.append(F.count_if(F.col(month).isNull()).alias("null_month"))
-    return df.agg(*aggs)
+    return df.agg(*report_columns(required, month))
+
+
+def refuse_failures(report: dict, target: str = "batch") -> dict:
+    """Raise ``QualityError`` if a count of ``report`` other than its rows is not zero; return the report."""
+    failed = {name: n for name, n in report.items() if name.startswith(("null_", "over_")) and n}
+    if failed:
+        counts = ", ".join(f"{name}={n}" for name, n in failed.items())
+        raise QualityError(f"{target}: {counts} of {report['row_count']} rows; nothing was written")
+    return report
 
 
 def gate_required(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> dict:
     """Q2: raise ``QualityError`` when a required value is NULL; return the report."""
-    report = quality_report(df, required).first().asDict()
-    if report["invalid_rows"]:
-        nulls = ", ".join(f"{c}={report[f'null_{c}']}" for c in required if report[f"null_{c}"])
-        raise QualityError(
-            f"{report['invalid_rows']} record(s) have an invalid required value, date, "
-            f"timestamp or order amount ({nulls}). No rows were written."
-        )
-    return report
+    return refuse_failures(quality_report(df, required).first().asDict())
 
 
 def gate_month(df: DataFrame, month: str = "month") -> dict:
     """Q3: raise ``QualityError`` when a partition month is NULL; return counts."""
-    report = df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(F.col(month).isNull()).alias("null_month"),
-    ).first().asDict()
-    if report["null_month"]:
-        raise QualityError(
-            f"{report['null_month']} record(s) have a null or invalid updated_at. "
-            "No rows were written."
-        )
-    return report
+    counts = [F.count(F.lit(1)).alias("row_count"), F.count_if(F.col(month).isNull()).alias("null_month")]
+    return refuse_failures(df.agg(*counts).first().asDict(), "month of updated_at")
 
 
 def constraint_violations(

@@ -5,18 +5,20 @@ small result record. Only gates, counts and writes run Spark jobs, and no job
 collects more than one summary row to the driver.
 
 Lineage and retries: the load job stages its de-duplicated rows as a Parquet
-table under ``spark.checkpoint.dir`` (shared storage), gates on the staged
-copy and appends from it, so the shuffle runs once and a lost executor never
-forces a recompute of the de-duplication; the staging table is dropped at the
-end. The extract job keeps the city's rows
-(persisted) for its gate, count and write, so its source is read once.
+table under ``spark.checkpoint.dir`` (shared storage) and appends from it, so
+the shuffle runs once and a lost executor never forces a recompute of the
+de-duplication; its gates read counts observed during that write, and the
+staging table is dropped at the end. The extract job stages the city's rows
+the same way, so its source is read once.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_of, year_month_of
@@ -24,13 +26,13 @@ from ..operators.aggregates import REVENUE_COLUMNS, city_revenue_parts, finish_r
 from ..operators.conform import normalize_orders, tidy_orders
 from ..operators.dedup import dedup_latest
 from ..operators.filters import keep_equal
-from ..operators.quality import gate_month, gate_required, require_columns
-from ..schema import EXTRACT_CITY, EXTRACT_COLUMNS, GENERATOR_ROWS, GENERATOR_SEED, ORDER_COLUMNS
+from ..operators.quality import gate_month, refuse_failures, report_columns, require_columns
+from ..schema import EXTRACT_CITY, EXTRACT_COLUMNS, GENERATOR_ROWS, GENERATOR_SEED, KEY_COLUMN, ORDER_COLUMNS, TABLE_COLUMNS, TEXT_BOUNDS
 from ..sinks.files import write_dataset, write_parquet_by_month
 from ..sinks.tables import append_table, create_table_if_missing, ctas_replace, publish_table, published_table
 from ..sources.files import read_raw_csv
 from ..sources.generate import generate_orders
-from .params import check_table_name
+from .params import check_location, check_table_name
 from .reuse import kept, staged
 
 
@@ -59,26 +61,34 @@ def load_orders(
     """Conform, de-duplicate, gate, then append to ``target_table``.
 
     Refuses the whole batch (``QualityError``) when any required value is
-    missing or unparseable; an empty source writes nothing and succeeds. The
+    missing or unparseable, or a text is longer than the table's bound; an
+    empty source writes nothing and succeeds. The
     target table is created (typed, text bounds) if missing. Keys already in
     the table refuse the batch, as a primary key would, unless ``key_check``
     is off; two loads at the same time can both pass that check.
 
     The conformed batch is staged once as a managed Parquet table in a
-    scratch database under ``spark.checkpoint.dir``; the gate (whose row
-    count also detects an empty source), the key check and the append all
-    read that copy. The staging database is dropped (files included) when
+    scratch database under ``spark.checkpoint.dir``. The gate's counts and the
+    key's bounds are observed during that write; the key check and the append
+    read the staged copy. The staging database is dropped (files included) when
     the job ends, unless ``keep_staging``.
     """
     check_table_name(target_table)
     require_columns(source, ORDER_COLUMNS, "source")
-    with staged(conform_orders(source), "load_staging", drop=not keep_staging) as batch:
-        report = gate_required(batch)
+    obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
+    bounds = [F.min(KEY_COLUMN).alias("lo"), F.max(KEY_COLUMN).alias("hi")]
+    observed = conform_orders(source).observe(obs, *report_columns(bounds=TEXT_BOUNDS), *bounds)
+    with staged(observed, "load_staging", drop=not keep_staging) as batch:
+        report = {"row_count": 0, **obs.get}
+        lo, hi = report.pop("lo", None), report.pop("hi", None)
+        refuse_failures(report, target_table)
         if report["row_count"] == 0:
             return JobResult("empty", 0, target_table, {"report": report})
         create_table_if_missing(spark, target_table)
-        key = "order_id" if key_check else None
-        written = append_table(batch, target_table, key=key, stage=False)
+        # No NULL key passes the gate, and the de-duplication leaves one row per key.
+        known = {"null_keys": 0, "repeated_keys": 0, "lo": lo, "hi": hi}
+        key = KEY_COLUMN if key_check else None
+        written = append_table(batch, target_table, key=key, stage=False, known=known)
         return JobResult("written", written, target_table, {"report": report})
 
 
@@ -102,6 +112,7 @@ def extract_city(
     keep: str = "stage",
     with_year: bool = False,
     partition_overwrite: str = "static",
+    schemes: Sequence[str] | None = None,
 ) -> JobResult:
     """One city's orders to Parquet partitioned by month (static overwrite).
 
@@ -111,12 +122,15 @@ def extract_city(
     default ``stage`` reads the source once into a scratch Parquet table on
     shared storage (dropped afterwards), cutting the lineage, so a lost
     executor or a source that changes in between cannot make the written
-    rows differ from the checked ones; ``checkpoint`` does the same with
-    ``DataFrame.checkpoint``; ``persist`` keeps them on executors; ``none``
+    rows differ from the checked ones; ``none``
     reads the source twice (the gate pass then reads only ``city`` and
     ``updated_at``). ``partition_overwrite="dynamic"`` replaces only the
-    months present in this run instead of the whole dataset.
+    months present in this run instead of the whole dataset. With ``schemes``
+    (W4) the output location must start with one of them. A hot month is split
+    over several tasks only where adaptive execution is on.
     """
+    if schemes is not None:
+        check_location(output_path, schemes)
     rows = city_rows(orders, city, with_year)
     with kept(rows, keep) as city_orders:
         return _extract(city_orders, output_path, partition_overwrite)
@@ -221,5 +235,5 @@ def seed_orders(
     details: dict = {"format": fmt}
     if table and written:
         landed = spark.read.parquet(output_path) if fmt.lower() == "parquet" else read_raw_csv(spark, output_path)
-        details["table_rows"] = ctas_replace(normalize_orders(landed), table)
+        details["table_rows"] = ctas_replace(normalize_orders(landed), table, TABLE_COLUMNS, KEY_COLUMN)
     return JobResult("written" if written else "empty", written, output_path, details)

@@ -109,7 +109,7 @@ FROM tidy GROUP BY city
 
 _EXTRACT = f"""
 SELECT {_COLS}, CAST(EXTRACT(MONTH FROM updated_at) AS INTEGER) AS month
-FROM conformed WHERE city = '{EXTRACT_CITY}'
+FROM dedup WHERE city = '{EXTRACT_CITY}' AND updated_at IS NOT NULL
 """
 
 
@@ -207,11 +207,11 @@ ORACLES: dict[str, str] = {
     "sink_csv_roundtrip": _with("SELECT * FROM norm"),
     "sink_parquet_roundtrip": _with("SELECT * FROM norm"),
     "sink_parquet_by_month": _with(
-        f"SELECT {_COLS}, CAST(EXTRACT(MONTH FROM updated_at) AS INTEGER) AS month FROM conformed"
+        f"SELECT {_COLS}, CAST(EXTRACT(MONTH FROM updated_at) AS INTEGER) AS month FROM dedup WHERE updated_at IS NOT NULL"
     ),
-    "sink_table_append": _with("SELECT * FROM conformed"),
-    "create_table_if_missing": _with("SELECT * FROM conformed"),
-    "ctas_replace": _with("SELECT * FROM conformed"),
+    "sink_table_append": _with("SELECT * FROM dedup"),
+    "create_table_if_missing": _with("SELECT * FROM dedup"),
+    "ctas_replace": _with("SELECT * FROM dedup"),
     "city_revenue_table": _with(_REVENUE),
     "job_load_orders": _with("SELECT * FROM conformed"),
     "city_extract": _with(_EXTRACT),

@@ -8,7 +8,8 @@ and return what reading it back gives, so the result checks the round trip.
 
 from __future__ import annotations
 
-import uuid
+import functools
+import operator
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_of
 from ..operators.aggregates import city_month_distribution, city_revenue, row_count
-from ..operators.conform import normalize_orders, tidy_orders
+from ..operators.conform import conversions, normalize_orders, tidy_orders
 from ..operators.dedup import dedup_latest
-from ..operators.filters import any_null
 from ..operators.quality import (
     constraint_violations,
     duplicate_keys,
@@ -36,6 +36,7 @@ from ..sources.files import read_raw_csv, register_csv_table, register_parquet_t
 from ..sources.fixture import raw_orders, tpch_orders
 from ..sources.generate import orders_for_rows
 from . import jobs
+from .reuse import kept
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,25 +53,26 @@ def _norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def passes_gate(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose required values all convert: the load's success path.
+    """The rows of ``df``, unconverted, whose required values all convert: the load's success path."""
+    values = conversions(df)
+    return df.filter(functools.reduce(operator.and_, [values[c].isNotNull() for c in REQUIRED_COLUMNS]))
 
-    Returns them already typed; the load's converters pass typed columns
-    through, so nothing is parsed twice.
-    """
-    return invalid_free(normalize_orders(df))
 
-
-def invalid_free(df: DataFrame) -> DataFrame:
-    return df.filter(~any_null(REQUIRED_COLUMNS))
+def _conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders, one row each, invalid values NULL."""
+    return dedup_latest(_norm(spark, sf_dir))
 
 
-def _conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the load job writes for the gate-passing rows."""
-    return jobs.conform_orders(passes_gate(_raw(spark, sf_dir)))
+def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders with an update time, which the month partitions need."""
+    return _conformed(spark, sf_dir).filter(F.col("updated_at").isNotNull())
 
 
-def _temp_name(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+def _stored(df: DataFrame, name: str) -> str:
+    """Store ``df`` as a catalog table in a fresh database; its name."""
+    table = f"{scratch_database(df.sparkSession, name)}.{name}"
+    df.write.format("parquet").saveAsTable(table)
+    return table
 
 
 def _land_raw_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -89,10 +91,8 @@ def q_scan_csv_strings(spark, sf_dir):
 
 
 def q_scan_catalog(spark, sf_dir):
-    """S7 (and S2, used by ``job_load_orders``): the raw rows as a registered table, selected back."""
-    name = _temp_name("orders_raw")
-    _raw(spark, sf_dir).createOrReplaceTempView(name)
-    return select_all(spark, name)
+    """S7 (and S2, used by ``job_load_orders``): the raw rows as a stored table, selected back."""
+    return select_all(spark, _stored(_raw(spark, sf_dir), "orders_raw"))
 
 
 def q_register_csv_inferred(spark, sf_dir):
@@ -105,7 +105,7 @@ def q_register_csv_inferred(spark, sf_dir):
 def q_register_parquet_partitions(spark, sf_dir):
     """The month-partitioned extract registered as a table and read back."""
     path = scratch_path(spark, "orders-city-extract")
-    jobs.extract_city(spark, _conformed(spark, sf_dir), path)
+    write_parquet_by_month(jobs.city_rows(_dated(spark, sf_dir)), path)
     db = scratch_database(spark, "parquet_parts")
     return register_parquet_table(spark, f"{db}.orders_city", path)
 
@@ -189,17 +189,19 @@ def q_sink_parquet_roundtrip(spark, sf_dir):
 def q_sink_parquet_by_month(spark, sf_dir):
     """K2: conformed rows partitioned by update month, read back."""
     path = scratch_path(spark, "orders-by-month")
-    rows = _conformed(spark, sf_dir).withColumn("month", month_of(F.col("updated_at")))
+    rows = _dated(spark, sf_dir).withColumn("month", month_of(F.col("updated_at")))
     write_parquet_by_month(rows, path)
     return spark.read.parquet(path)
 
 
 def q_sink_table_append(spark, sf_dir):
-    """K1 (catalog table): append the conformed rows with the key check, read back."""
+    """K1 (catalog table): append the rows with a key under the key check, the others without; read back."""
     db = scratch_database(spark, "append")
     name = f"{db}.orders"
     create_table_if_missing(spark, name)
-    append_table(_conformed(spark, sf_dir), name, key="order_id")
+    with kept(_conformed(spark, sf_dir)) as rows:
+        append_table(rows.filter("order_id IS NOT NULL"), name, key="order_id", stage=False)
+        append_table(rows.filter("order_id IS NULL"), name)
     return spark.table(name)
 
 
@@ -217,8 +219,9 @@ def q_ctas_replace(spark, sf_dir):
     """K4: replace the table from a query twice; the result is the same."""
     db = scratch_database(spark, "ctas")
     name = f"{db}.orders"
-    ctas_replace(_conformed(spark, sf_dir), name)
-    ctas_replace(_conformed(spark, sf_dir), name)
+    with kept(_conformed(spark, sf_dir)) as rows:
+        ctas_replace(rows, name)
+        ctas_replace(rows, name)
     return spark.table(name)
 
 
@@ -236,19 +239,18 @@ def q_city_revenue_table(spark, sf_dir):
 
 
 def q_job_load_orders(spark, sf_dir):
-    """W1 on the gate-passing raw rows, registered as a catalog source."""
-    name = _temp_name("orders_source")
-    passes_gate(_raw(spark, sf_dir)).createOrReplaceTempView(name)
+    """W1 on the gate-passing raw rows (text columns), stored as a catalog source."""
+    name = _stored(passes_gate(_raw(spark, sf_dir)), "orders_source")
     db = scratch_database(spark, "load")
     target = f"{db}.orders"
-    jobs.load_orders(spark, scan_catalog(spark, name), target, key_check=True)
+    jobs.load_orders(spark, scan_catalog(spark, name), target)
     return spark.table(target)
 
 
 def q_city_extract(spark, sf_dir):
-    """W2 on the load job's output; the partitioned dataset read back."""
+    """W2 on all dated orders; the partitioned dataset read back."""
     path = scratch_path(spark, "orders-kolkata")
-    jobs.extract_city(spark, _conformed(spark, sf_dir), path)
+    jobs.extract_city(spark, _dated(spark, sf_dir), path)
     return spark.read.parquet(path)
 
 

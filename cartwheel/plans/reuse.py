@@ -1,26 +1,12 @@
 """Keep one DataFrame for several actions.
 
-Three ways:
-
-* ``kept(df, "stage")`` computes the rows once and writes them as a Parquet
-  table in a scratch database under ``spark.checkpoint.dir`` (shared
-  storage), cutting the lineage; the database is dropped when the block ends.
-  Later actions read that columnar copy (and only the columns they need); a
-  lost executor costs nothing but a re-read, and a source that changes
-  meanwhile (a live database) cannot make the rows written differ from the
-  rows checked.
-* ``kept(df, "checkpoint")`` does the same with ``DataFrame.checkpoint`` (row
-  files in the checkpoint dir).
-* ``kept(df, "persist")`` keeps the rows on executors (memory, spilling to
-  local disk) and unpersists them when the block ends, even when a gate
-  raises. Cheaper, but a lost executor's blocks are recomputed from the
-  source.
-
-Checkpoint files are removed by Spark's cleaner once the DataFrame is gone
-when ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on
-(``build_session`` turns it on).
-
-``"none"`` runs every action on the plan itself.
+``kept(df, "stage")`` computes the rows once and writes them as a Parquet
+table in a scratch database under ``spark.checkpoint.dir`` (shared storage),
+cutting the lineage; the database is dropped when the block ends. Later
+actions read that columnar copy (and only the columns they need); a lost
+executor costs nothing but a re-read, and a source that changes meanwhile (a
+live database) cannot make the rows written differ from the rows checked.
+``kept(df, "none")`` runs every action on the plan itself.
 """
 
 from __future__ import annotations
@@ -28,21 +14,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from ..session import scratch_database, scratch_root
+from ..session import scratch_database
 
-KEEP_MODES = ("stage", "checkpoint", "persist", "none")
-
-
-@contextmanager
-def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
-    kept = df.persist(level)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()
+KEEP_MODES = ("stage", "none")
 
 
 @contextmanager
@@ -51,19 +27,9 @@ def kept(df: DataFrame, mode: str = "stage") -> Iterator[DataFrame]:
         raise ValueError(f"keep must be one of {', '.join(KEEP_MODES)}")
     if mode == "none":
         yield df
-    elif mode == "persist":
-        with persisted(df) as rows:
-            yield rows
-    elif mode == "stage":
+    else:
         with staged(df) as rows:
             yield rows
-    else:
-        scratch_root(df.sparkSession)  # make sure a checkpoint dir is set (shared on a cluster)
-        # Persist first so that the checkpoint write reads the computed rows
-        # instead of running the plan a second time.
-        with persisted(df) as rows:
-            checkpointed = rows.checkpoint(eager=True)
-        yield checkpointed
 
 
 @contextmanager

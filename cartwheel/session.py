@@ -3,17 +3,21 @@
 Jobs that write intermediate tables (round trips, staged tables) place them
 under the folder the cluster names in ``spark.checkpoint.dir``. A job never
 picks a machine-local folder on a cluster; only a local-mode session without
-that setting (tests, a laptop) gets a fresh folder under the system temp dir.
+that setting (tests, a laptop) uses a folder in its own warehouse.
+``release_scratch`` deletes what a session's runs have left there.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+#: Scratch of this process not yet released: paths, and databases.
+_PATHS: list[str] = []
+_DATABASES: list[str] = []
+
 # Runtime SQL settings the jobs rely on. They are per-session and safe to set
 # on a session someone else built.
 SQL_SETTINGS: dict[str, str] = {
@@ -68,7 +72,7 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate data: ``spark.checkpoint.dir``.
 
     Read from the session first. Only a local-mode session with no setting
-    gets its own folder, which is then also made the checkpoint dir.
+    uses a folder of its warehouse, which is then also made the checkpoint dir.
     """
     try:
         sc = spark.sparkContext
@@ -90,7 +94,7 @@ def scratch_root(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; name a shared folder (HDFS, object store) "
             "for intermediate tables"
         )
-    local = tempfile.mkdtemp(prefix="cartwheel-")
+    local = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     if sc is None:
         return local
     sc.setCheckpointDir(local)
@@ -100,7 +104,9 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the scratch root for one run of ``name``."""
     root = scratch_root(spark)
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    _PATHS.append(path)
+    return path
 
 
 def scratch_database(spark: SparkSession, name: str) -> str:
@@ -108,9 +114,26 @@ def scratch_database(spark: SparkSession, name: str) -> str:
     db = f"cw_{name}_{uuid.uuid4().hex[:10]}"
     location = scratch_path(spark, f"db-{name}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{location}'")
+    _DATABASES.append(db)
     return db
 
 
+def release_scratch(spark: SparkSession) -> int:
+    """Drop every scratch database and delete every scratch path made so far; how many there were.
+
+    Call it when no DataFrame that reads them is in use any more: a query's
+    result often reads its scratch tables.
+    """
+    count = len(_PATHS) + len(_DATABASES)
+    while _DATABASES:
+        spark.sql(f"DROP DATABASE IF EXISTS `{_DATABASES.pop()}` CASCADE")
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    while _PATHS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return count
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so a path can be used by local tools in tests."""
     if path.startswith("file://"):

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import QualityError
+from ..operators.quality import QualityError, constraint_violations, duplicate_keys
 from ..plans.params import check_identifier, check_table_name, split_table_name
 from ..plans.reuse import kept
 from ..schema import TABLE_COLUMNS
@@ -54,7 +54,7 @@ def _in_table_order(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
 
 
 def check_new_keys(
-    df: DataFrame, spark: SparkSession, name: str, key: str, prune_by_range: bool = True
+    df: DataFrame, spark: SparkSession, name: str, key: str, prune_by_range: bool = True, known: dict | None = None
 ) -> dict:
     """Refuse a batch whose ``key`` is NULL, repeats, or is already in ``name``.
 
@@ -68,16 +68,20 @@ def check_new_keys(
     smallest and largest key: the bounds reach the Parquet scan, which skips
     every row group whose statistics lie outside. The test stays exact (a key
     outside the range cannot match). Pass a staged or cheap ``df``: it is read
-    twice. The check and a later insert are two steps, so two loads at once
+    twice. A batch just de-duplicated by ``key`` needs no count of repeats:
+    ``known`` then gives its ``null_keys``, ``repeated_keys``, ``lo`` and ``hi``. The check and a later insert are two steps, so two loads at once
     can both pass.
     """
-    copies = df.groupBy(key).agg(F.count(F.lit(1)).alias("__copies"))
-    report = copies.agg(
-        F.count_if(F.col(key).isNull()).alias("null_keys"),
-        F.count_if(F.col(key).isNotNull() & (F.col("__copies") > 1)).alias("repeated_keys"),
-        F.min(key).alias("lo"),
-        F.max(key).alias("hi"),
-    ).first().asDict()
+    if known is None:
+        copies = df.groupBy(key).agg(F.count(F.lit(1)).alias("__copies"))
+        report = copies.agg(
+            F.count_if(F.col(key).isNull()).alias("null_keys"),
+            F.count_if(F.col(key).isNotNull() & (F.col("__copies") > 1)).alias("repeated_keys"),
+            F.min(key).alias("lo"),
+            F.max(key).alias("hi"),
+        ).first().asDict()
+    else:
+        report = dict(known)
     lo, hi = report.pop("lo"), report.pop("hi")
     existing = spark.table(name).select(F.col(key).alias("__existing"))
     if prune_by_range and lo is not None:
@@ -94,21 +98,22 @@ def check_new_keys(
     return report
 
 
-def append_table(df: DataFrame, name: str, key: str | None = None, stage: bool = True) -> int:
+def append_table(df: DataFrame, name: str, key: str | None = None, stage: bool = True, known: dict | None = None) -> int:
     """K1: append rows to an existing table, by column name; rows written.
 
     Spark commits the whole insert at once for a catalog table. With ``key``
     the batch is refused like a primary-key violation would refuse it; the
     batch is then first staged once on shared storage (``stage``), so the
     key checks and the insert read the same rows and the batch's plan runs
-    once. Pass ``stage=False`` for a batch that is already a stored table.
+    once. Pass ``stage=False`` for a batch that is already a stored table;
+    ``known`` is passed on to ``check_new_keys``.
     """
     spark = df.sparkSession
     check_table_name(name)
     if key is None:
         return _insert(df, spark, name)
     with kept(df, "stage" if stage else "none") as rows:
-        check_new_keys(rows, spark, name, key)
+        check_new_keys(rows, spark, name, key, known=known)
         return _insert(rows, spark, name)
 
 
@@ -118,11 +123,14 @@ def _insert(df: DataFrame, spark: SparkSession, name: str) -> int:
     return int(obs.get.get("rows", 0))
 
 
-def ctas_replace(df: DataFrame, name: str) -> int:
+def ctas_replace(df: DataFrame, name: str, columns=None, key: str | None = None) -> int:
     """K4: recreate ``name`` from ``df`` (re-runnable); rows written.
 
     The rows go to a table of their own first, which takes the name once the
-    write has succeeded: a failing query leaves the old table as it is.
+    write has succeeded: a failing query leaves the old table as it is. With
+    ``columns`` (as in ``TABLE_COLUMNS``) the table has those types and text
+    bounds, and before the swap its NOT NULL rules (Q5) and, with ``key``, its
+    key (Q6) are checked.
     Readers that opened the old table before the swap lose its files.
     """
     check_table_name(name)
@@ -130,13 +138,28 @@ def ctas_replace(df: DataFrame, name: str) -> int:
     fresh = f"{name}__new_{uuid.uuid4().hex[:10]}"
     obs = Observation(f"ctas_{uuid.uuid4().hex[:8]}")
     try:
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format("parquet").saveAsTable(fresh)
+        if columns is None:
+            df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format("parquet").saveAsTable(fresh)
+            rows = int(obs.get.get("rows", 0))
+        else:
+            spark.sql(table_ddl(fresh, columns))
+            rows = _insert(df, spark, fresh)
+            _check_stored(spark.table(fresh), columns, key, name)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {fresh}")
         raise
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
-    return int(obs.get.get("rows", 0))
+    return rows
+
+
+def _check_stored(stored: DataFrame, columns, key: str | None, name: str) -> None:
+    required = [col for col, _, not_null in columns if not_null]
+    broken = constraint_violations(stored, required, {}).filter("violations > 0").collect()  # a row per column
+    if broken:
+        raise QualityError(f"{name}: " + ", ".join(f"null_{r['column_name']}={r['violations']}" for r in broken) + "; nothing was replaced")
+    if key and not duplicate_keys(stored, key).isEmpty():
+        raise QualityError(f"{name}: {key} repeats; nothing was replaced")
 
 
 def publish_table(df: DataFrame, view: str, columns: Sequence[str] | None = None) -> tuple[str, int]:

@@ -15,7 +15,7 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from cartwheel.session import build_session
+    from cartwheel.session import build_session, release_scratch
 
     base = tmp_path_factory.mktemp("spark")
     session = build_session(
@@ -28,6 +28,7 @@ def spark(tmp_path_factory):
     # Tests set their own checkpoint dir; a cluster names a shared one.
     session.sparkContext.setCheckpointDir(str(base / "checkpoints"))
     yield session
+    release_scratch(session)
     session.stop()
 
 

@@ -39,7 +39,7 @@ def test_fixture_counts(spark, sf_dir):
         raw=raw.count(),
         invalid=invalid_rows(norm).count(),
         dup_keys=duplicate_keys(norm).count(),
-        dedup_valid=dedup_latest(passes_gate(raw)).count(),
+        dedup_valid=dedup_latest(normalize_orders(passes_gate(raw))).count(),
         dedup_all=dedup_latest(norm).count(),
         tidy=tidy.count(),
         kolkata=keep_equal(tidy, "city", "Kolkata").count(),
