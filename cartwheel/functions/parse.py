@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 
 from ..schema import DATE_FORMAT, MONEY, TIMESTAMP_FORMAT
 
+# The shape of TIMESTAMP_FORMAT.
+_STAMP = r"\A-?[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
+
 
 def _dtype(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
@@ -50,8 +53,9 @@ def to_date(df: DataFrame, name: str, fmt: str = DATE_FORMAT) -> Column:
 def to_timestamp(df: DataFrame, name: str, fmt: str = TIMESTAMP_FORMAT) -> Column:
     """Timestamp without time zone from text in ``fmt``.
 
-    ``try_to_timestamp`` decides validity (strict pattern); the value is then
-    read as a zone-free wall clock, so the session time zone never shifts it.
+    The shape decides what is tried, and one cast to a zone-free wall clock
+    decides validity, so the session time zone never shifts it. Patterns other
+    than the default are tested by ``try_to_timestamp`` first.
     Typed input is converted to the same wall clock.
     """
     dtype = _dtype(df, name)
@@ -60,5 +64,5 @@ def to_timestamp(df: DataFrame, name: str, fmt: str = TIMESTAMP_FORMAT) -> Colum
     if isinstance(dtype, (T.TimestampType, T.DateType)):
         return F.col(name).cast(T.TimestampNTZType())
     text = F.col(name).cast(T.StringType())
-    valid = F.try_to_timestamp(text, F.lit(fmt)).isNotNull()
+    valid = text.rlike(_STAMP) if fmt == TIMESTAMP_FORMAT else F.try_to_timestamp(text, F.lit(fmt)).isNotNull()
     return F.when(valid, text.try_cast(T.TimestampNTZType()))

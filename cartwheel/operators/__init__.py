@@ -3,7 +3,7 @@
 from .aggregates import city_month_distribution, city_revenue, exact_average, row_count
 from .conform import normalize_orders, tidy_orders
 from .dedup import dedup_latest
-from .filters import any_null, keep_equal, keep_present, rows_with_null
+from .filters import any_null, keep_equal, keep_present
 from .quality import (
     QualityError,
     constraint_violations,
@@ -13,7 +13,6 @@ from .quality import (
     gate_month,
     gate_required,
     invalid_rows,
-    is_empty,
     null_month_rows,
     quality_report,
     require_columns,
@@ -33,7 +32,6 @@ __all__ = [
     "gate_month",
     "gate_required",
     "invalid_rows",
-    "is_empty",
     "keep_equal",
     "keep_present",
     "normalize_orders",
@@ -41,6 +39,5 @@ __all__ = [
     "quality_report",
     "require_columns",
     "row_count",
-    "rows_with_null",
     "tidy_orders",
 ]

@@ -1,4 +1,4 @@
-"""Row filters (F1-F4). All are plain predicates Catalyst can push to the scan."""
+"""Row filters (F1-F3). All are plain predicates Catalyst can push to the scan."""
 
 from __future__ import annotations
 
@@ -26,8 +26,3 @@ def any_null(names: Iterable[str]) -> Column:
     if not tests:
         return F.lit(False)
     return functools.reduce(operator.or_, tests)
-
-
-def rows_with_null(df: DataFrame, name: str) -> DataFrame:
-    """rows whose (possibly derived) column ``name`` is NULL."""
-    return df.filter(F.col(name).isNull())

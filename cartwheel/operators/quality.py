@@ -133,8 +133,3 @@ def duplicate_keys(df: DataFrame, key: str = KEY_COLUMN) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("copies"))
         .filter(F.col("copies") > 1)
     )
-
-
-def is_empty(df: DataFrame) -> bool:
-    """Q4: the empty-source test, without counting the whole source."""
-    return df.isEmpty()

@@ -85,9 +85,7 @@ TEXT_BOUNDS: dict[str, int] = {
 # --- Fixed values: these must equal the reference's generator lists. ---
 CITIES: tuple[str, ...] = ("Kolkata", "Mumbai", "Bangalore", "Delhi", "Hyderabad", "Pune", "Chennai")
 CATEGORIES: tuple[str, ...] = ("Electronics", "Fashion", "Grocery", "Home", "Beauty", "Sports")
-ORDER_STATUSES: tuple[str, ...] = ("PLACED", "SHIPPED", "DELIVERED", "CANCELLED")
-PAYMENT_STATUSES: tuple[str, ...] = ("PAID", "PENDING", "FAILED", "REFUNDED")
-# Only these are drawn by the generator; the others are declared but unused.
+# The statuses that the generator draws.
 DRAWN_ORDER_STATUSES: tuple[str, ...] = ("PLACED", "SHIPPED", "DELIVERED")
 DRAWN_PAYMENT_STATUSES: tuple[str, ...] = ("PAID", "PENDING")
 GENERATOR_SEED = 42

@@ -103,3 +103,23 @@ def test_x9_x10_draws(spark):
     assert agg[3] >= Decimal("300.00") and agg[4] <= Decimal("75000.00")
     assert agg[5] == 5
     assert df.filter(F.col("p") == "C0007").count() == 1
+
+
+def test_p7_one_cast_agrees_with_the_strict_pattern(spark):
+    from pyspark.sql import functions as F
+
+    from cartwheel.functions import parse
+    from cartwheel.schema import TIMESTAMP_FORMAT
+
+    odd = [
+        "2026-01-02 07:00:00", "2024-02-29 23:59:59", "2026-02-29 00:00:00", "2026-02-30 00:00:00", "2026-13-01 00:00:00",
+        "2026-01-02 24:00:00", "2026-01-02 23:60:00", "2026-01-02 23:59:60", "0000-01-01 00:00:00", "0001-01-01 00:00:00",
+        "9999-12-31 23:59:59", "10000-01-01 00:00:00", "2026-1-2 7:0:0", "2026-01-02", "2026-01-02T07:00:00", "2026-01-02 07:00:00.5",
+        "2026-01-02 07:00:00Z", "2026-01-02 07:00:00 ", " 2026-01-02 07:00:00", "2026-01-02 07:00:00\n", "２０26-01-02 07:00:00", "", "x", None,
+        "2026-03-08 02:30:00", "2026-01-02 07:00:00+01:00", "-2026-01-02 07:00:00",
+    ]
+    df = spark.createDataFrame([(x,) for x in odd], "t string")
+    strict = F.when(F.try_to_timestamp("t", F.lit(TIMESTAMP_FORMAT)).isNotNull(), F.col("t").try_cast("timestamp_ntz"))
+    rows = df.select("t", parse.to_timestamp(df, "t").cast("string").alias("got"), strict.cast("string").alias("want")).collect()
+    assert [(r.t, r.got) for r in rows] == [(r.t, r.want) for r in rows]
+    assert sum(r.got is not None for r in rows) == 7

@@ -32,7 +32,7 @@ from cartwheel.sources import (
     select_all,
 )
 
-ROW = ("100001", "C0058", "2026-01-02", "Fashion", "  DELHI ", "10723.48", "DELIVERED", "PENDING", "2026-01-02 07:00:00")
+ROW = ("900018", "C7778", "2025-11-23", "Home", "  DELHI ", "77.05", "SHIPPED", "PAID", "2025-11-24 09:45:30")
 
 
 def conformed(spark, n=5):
