@@ -111,5 +111,30 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-#: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+_ESCAPED = "length(replace(replace({0}, '&', '&amp;'), '<', '&lt;'))"
+
+_CHAT = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), placed AS (
+  SELECT *, row_number() OVER w AS k, lag(role) OVER w AS before
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), pieces AS (
+  SELECT *, {_ESCAPED.format("text")}
+    + CASE WHEN k > 1 AND before = role THEN length('<|seam|>')
+           ELSE length('<|turn|><|text|><|end|>.') + {_ESCAPED.format("role")} END AS chars
+  FROM placed
+)
+SELECT CAST(conv_id AS BIGINT) AS conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM pieces GROUP BY conv_id
+"""
+
+#: DuckDB SQL of the queries that SQL can express over whole tables in fair time.
+ORACLES: dict[str, str] = {"op5_chat_format": _CHAT}

@@ -104,6 +104,21 @@ def test_op5_reads_back_every_turn(spark):
         assert got[c].loss_texts == [x[2] for x in turns if x[1] == "assistant"]
 
 
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_op5_matches_its_sql(spark, sf_dir):
+    import duckdb
+
+    from cartwheel.llm.registry import ORACLES, QUERIES
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{sf_dir}/conversations.parquet')")
+    want = con.execute(ORACLES["op5_chat_format"])
+    names = [c[0] for c in want.description]
+    got = QUERIES["op5_chat_format"](spark, sf_dir)
+    assert got.columns == names
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want.fetchall(), key=repr)
+
+
 def _components(ids, links):
     low = {i: i for i in ids}
     while True:
