@@ -136,5 +136,25 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id,
 FROM pieces GROUP BY conv_id
 """
 
+_VECTORS = """
+WITH RECURSIVE vectors AS MATERIALIZED (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), usable AS MATERIALIZED (
+  SELECT * FROM vectors
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL)) = 0
+    AND len(list_filter(e, lambda x: isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach(node, root) AS (
+  SELECT vec_id, vec_id FROM vectors
+  UNION SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.node
+), components AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(d.n, 0) AS n_links, c.root AS component_id, v.vec_id IS NOT DISTINCT FROM c.root AS kept
+FROM vectors v LEFT JOIN components c ON v.vec_id = c.node LEFT JOIN degrees d ON v.vec_id = d.a
+"""
+
 #: DuckDB SQL of the queries that SQL can express over whole tables in fair time.
-ORACLES: dict[str, str] = {"op5_chat_format": _CHAT}
+ORACLES: dict[str, str] = {"op5_chat_format": _CHAT, "op6_near_vectors": _VECTORS}

@@ -104,17 +104,18 @@ def test_op5_reads_back_every_turn(spark):
         assert got[c].loss_texts == [x[2] for x in turns if x[1] == "assistant"]
 
 
-@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
-def test_op5_matches_its_sql(spark, sf_dir):
+@pytest.mark.parametrize(("name", "source"), [("op5_chat_format", "conversations"), ("op6_near_vectors", "embeddings")])
+def test_query_matches_its_sql(spark, name, source):
     import duckdb
 
     from cartwheel.llm.registry import ORACLES, QUERIES
 
+    sf_dir = "/root/testdata/sf0.01"
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{sf_dir}/conversations.parquet')")
-    want = con.execute(ORACLES["op5_chat_format"])
+    con.execute(f"CREATE VIEW {source} AS SELECT * FROM read_parquet('{sf_dir}/{source}.parquet')")
+    want = con.execute(ORACLES[name])
     names = [c[0] for c in want.description]
-    got = QUERIES["op5_chat_format"](spark, sf_dir)
+    got = QUERIES[name](spark, sf_dir)
     assert got.columns == names
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want.fetchall(), key=repr)
 
