@@ -4,7 +4,10 @@ Every text gets a histogram of character classes and one of common words. The
 reference of a language is the sum of the histograms of all its texts that
 pass the base rules, over the whole corpus. The verdict compares a text with
 the reference of its ``lang`` by Jensen-Shannon distance (the square root of
-the divergence, base 2, from 0 to 1). Short texts, whose histograms say
+the divergence, base 2, from 0 to 1): the character classes, the common words
+with one bin for all other words, and the common words alone. A language's
+limits are the upper fences of the distances of all its texts, in bands of
+length, as short texts lie further off. Short texts, whose histograms say
 little, and languages with little text are not judged.
 """
 
@@ -30,15 +33,19 @@ COMMON_WORDS = (
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-#: Distances above these reject; texts under JUDGED_WORDS words, and languages under JUDGED_TEXTS texts, are not judged.
+#: Distances above these reject in any language; texts under JUDGED_WORDS words, and languages under JUDGED_TEXTS texts, are not judged.
 MAX_CHAR_DISTANCE = 0.32
 MAX_WORD_DISTANCE = 0.65
 JUDGED_WORDS = 50
 JUDGED_TEXTS = 20
+#: A fence lies this many interquartile ranges above the upper quartile of the distances, and LEAST_MARGIN at least.
+FENCE = 3
+LEAST_MARGIN = 0.07
 
 SYMBOLS = b"#*$%&|<>"
-N_CLASSES = 10
+N_CLASSES = 11
 _COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+_DISTANCES = ["char_distance", "word_distance", "function_distance"]
 
 
 def quality_scores(
@@ -51,11 +58,14 @@ def quality_scores(
     """Measures and the verdict of every row of ``docs(doc_id, text, lang)``.
 
     Returns ``doc_id, lang, text_hash, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, char_distance, word_distance, kept``, one row
-    per input row (repeated rows repeat). Null and empty texts have no words
-    and fail the base rules. A distance is null where it is not judged: for a
-    null or rare ``lang``, or a text of under ``judged_words`` words. Other
-    columns are ignored; an empty table gives an empty table.
+    n_repeat_words, base_failed, char_distance, word_distance,
+    function_distance, kept``, one row per input row (repeated rows repeat).
+    Null and empty texts have no words and fail the base rules. A distance
+    above the fence of its language and length, or above
+    ``max_char_distance`` or ``max_word_distance``, rejects. A distance is
+    null where it is not judged: for a null or rare ``lang``, or a text of
+    under ``judged_words`` words. Other columns are ignored; an empty table
+    gives an empty table.
     """
     scratch = Scratch(docs.sparkSession, "quality")
     schema = "doc_id bigint, lang string, text_hash bigint, " + ", ".join(f"{c} bigint" for c in _COLUMNS) + ", chars array<int>, common array<int>"
@@ -76,10 +86,39 @@ def quality_scores(
     reference = scratch.table(reference, "reference")
     scored = measured.join(reference, "lang", "left").mapInArrow(
         _score(judged_words),
-        "doc_id bigint, lang string, text_hash bigint, " + ", ".join(f"{c} bigint" for c in _COLUMNS) + ", base_failed boolean, char_distance double, word_distance double",
+        "doc_id bigint, lang string, text_hash bigint, " + ", ".join(f"{c} bigint" for c in _COLUMNS) + ", base_failed boolean, " + ", ".join(f"{c} double" for c in _DISTANCES),
     )
-    far = (F.coalesce("char_distance", F.lit(0.0)) > max_char_distance) | (F.coalesce("word_distance", F.lit(0.0)) > max_word_distance)
-    return scored.withColumn("kept", ~F.col("base_failed") & ~far)
+    scored = scratch.table(scored, "scored")
+    scratch.drop("measured", "reference")
+
+    limits = scratch.table(_fences(scored.filter("NOT base_failed AND char_distance IS NOT NULL"), judged_texts), "limits")
+    limited = scored.join(limits, "lang", "left").withColumn("limit", F.array_max(F.filter("limits", lambda x: x["band"] <= _band())))
+    ceilings = {"char_distance": max_char_distance, "word_distance": max_word_distance, "function_distance": 1.0}
+    far = [F.coalesce(F.col(c) > F.least(F.lit(ceilings[c]), F.col(f"limit.{c}")), F.lit(False)) for c in _DISTANCES]
+    return limited.withColumn("kept", ~(F.col("base_failed") | far[0] | far[1] | far[2])).drop("limits", "limit")
+
+
+def _band() -> Column:
+    """Texts of about the same length: the power of two below the number of words."""
+    return F.floor(F.log2("n_words")).cast("int")
+
+
+def _fences(judged: DataFrame, least: int) -> DataFrame:
+    """``(lang, limits)``: the fences of each length band with ``least`` texts, and of all lengths as band -1.
+
+    A text takes the last band that is not above its own. The quartiles are
+    exact to a thousandth, so their state is bounded whatever the rows.
+    """
+
+    def fence(name: str) -> Column:
+        q = F.percentile(F.round(name, 3), F.array(F.lit(0.25), F.lit(0.75)))
+        return (F.get(q, F.lit(1)) + F.greatest(FENCE * (F.get(q, F.lit(1)) - F.get(q, F.lit(0))), F.lit(LEAST_MARGIN))).alias(name)
+
+    def of(band: Column) -> DataFrame:
+        return judged.groupBy("lang", band.alias("band")).agg(F.count(F.lit(1)).alias("texts"), *[fence(c) for c in _DISTANCES])
+
+    both = of(_band()).unionByName(of(F.lit(-1))).filter(F.col("texts") >= least)
+    return both.groupBy("lang").agg(F.collect_list(F.struct("band", *_DISTANCES)).alias("limits"))
 
 
 def base_failed() -> Column:
@@ -104,17 +143,25 @@ def _dense(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
+def _distances(chars: np.ndarray, common: np.ndarray, ref_chars: np.ndarray, ref_common: np.ndarray) -> list[np.ndarray]:
+    """The three distances of each row; the last bin of ``common`` holds all other words."""
+    function = js_distance(common[:, :-1], ref_common[:, :-1])
+    none = (common[:, :-1].sum(axis=1) == 0) & (ref_common[:, :-1].sum(axis=1) > 0)
+    return [js_distance(chars, ref_chars), js_distance(common, ref_common), np.where(none, 1.0, function)]
+
+
 def _score(judged_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain = ["doc_id", "lang", "text_hash", *_COLUMNS, "base_failed"]
         for batch in batches:
             get = lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: B023, E731
             short = get("n_words").to_numpy() < judged_words
+            chars, ref_chars = (_dense(get(c), N_CLASSES) for c in ("chars", "ref_chars"))
+            common, ref_common = (_dense(get(c), len(COMMON_WORDS) + 1) for c in ("common", "ref_common"))
             out = [get(c) for c in plain]
-            for own, ref, width in (("chars", "ref_chars", N_CLASSES), ("common", "ref_common", len(COMMON_WORDS) + 1)):
-                d = js_distance(_dense(get(own), width), _dense(get(ref), width))
+            for d in _distances(chars, common, ref_chars, ref_common):
                 out.append(pa.array(d, pa.float64(), mask=short | np.isnan(d)))
-            yield pa.RecordBatch.from_arrays(out, [*plain, "char_distance", "word_distance"])
+            yield pa.RecordBatch.from_arrays(out, [*plain, *_DISTANCES])
 
     return run
 
@@ -127,11 +174,12 @@ def _char_classes() -> np.ndarray:
     c[ord("0") : ord("9") + 1] = 2
     c[[0x20, 9, 10, 11, 12, 13]] = 3
     c[list(b".,;:!?'\"-()")] = 4
-    c[list(b"[#*$%&|<>]{}=+/\\^_~@`")] = 5
+    c[list(b"[#*$%&<>]{}=+/\\^_~@`")] = 5
     c[0xC2:0xF5] = 6  # first byte of a character beyond ASCII
     c[:9] = c[14:32] = c[127] = 8
     c[0x80:0xC0] = N_CLASSES
     c[ord("!")] = 9
+    c[ord("|")] = 10
     return c
 
 

@@ -86,6 +86,24 @@ def test_op4_rejects_foreign_text_and_keeps_short(spark):
     assert [r.kept for r in sorted(got, key=lambda r: r.doc_id)] == [True] * 40 + [False, True]
 
 
+def test_op4_rejects_other_language_and_pipe_list_and_keeps_clean(spark):
+    from cartwheel.llm.quality import quality_scores
+
+    rng = random.Random(13)
+    function = {"en": "the of and to in is that it for with as on".split(), "fr": "le la les de des du et en un une que qui".split()}
+
+    def prose(lang, n):
+        return " ".join(rng.choice(function[lang]) if rng.random() < 0.3 else "".join(rng.choice("aeinorst") for _ in range(rng.randint(3, 9))) for _ in range(n))
+
+    langs = ["en"] * 120 + ["fr"] * 60
+    texts = [prose(x, rng.randint(60, 400)) for x in langs]
+    pipes = " | ".join(prose("en", 1) for _ in range(150))
+    no_function = " ".join("".join(rng.choice("aeinorst") for _ in range(6)) for _ in range(150))
+    texts += [prose("fr", 150), prose("en", 150), pipes, no_function, prose("en", 150)]
+    got = quality_scores(table(spark, texts, lang=[*langs, "en", "fr", "en", "en", "en"])).collect()
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.doc_id) if not r.kept] == [180, 181, 182, 183]
+
+
 def test_op5_reads_back_every_turn(spark):
     from cartwheel.llm.chat import format_chats, read_chats
 
