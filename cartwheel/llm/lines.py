@@ -7,7 +7,8 @@ of equal ranks is an interval of the suffix array whose longest common prefix
 is at least the run length; its earliest position (by document, then line) is
 the copy that stays. A maximal repeated run of ``L >= min_lines`` lines is
 covered by its runs of ``min_lines`` lines, so doubling stops at that length
-and a line goes if any such run that holds it has an earlier copy.
+and a line goes if any such run that holds it has an earlier copy. A single
+line is a run if it is long or stands in many documents.
 """
 
 from __future__ import annotations
@@ -21,11 +22,12 @@ WORD = r"[^\x20\x09-\x0D]"
 KEY = ["d", "h"]
 
 
-def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = 50) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = 50, min_docs: int = 50) -> DataFrame:
     """Delete later copies of repeated runs of lines from every text.
 
     A run counts when it has ``min_lines`` lines (a power of two), or is one
-    line of ``min_words`` words or more. Lines are split at ``\\n``; lines
+    line of ``min_words`` words or more, or one line, of any length, that
+    stands in ``min_docs`` documents or more. Lines are split at ``\\n``; lines
     without a word are no part of a run, but those inside a deleted run go
     with it. The first copy, in the order of ``doc_id`` (null first), text
     hash and line, stays. Returns the input's columns, in order, with the new
@@ -37,9 +39,9 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = 50
     if min_lines < 1 or min_lines & (min_lines - 1):
         raise ValueError("min_lines must be a power of two")
     scratch = Scratch(docs.sparkSession, "lines")
-    gone = repeated_runs(docs, scratch, min_lines, min_words).groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    gone = repeated_runs(docs, scratch, min_lines, min_words, min_docs).groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("runs"))
     gone = scratch.table(gone.withColumnsRenamed({"d": "gd", "h": "gh"}), "gone")
-    scratch.drop("lines", *(f"ranks-{1 << i}" for i in range(min_lines.bit_length())), *(f"runs-{1 << i}" for i in range(min_lines.bit_length())))
+    scratch.drop("lines", "often", *(f"ranks-{1 << i}" for i in range(min_lines.bit_length())), *(f"runs-{1 << i}" for i in range(min_lines.bit_length())))
     names = docs.columns
     boxed = docs.select(F.struct(*[_quoted(c) for c in names]).alias("row"), F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"))
     # Grows with the corpus: never broadcast, at any size.
@@ -57,7 +59,7 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def repeated_runs(docs: DataFrame, scratch: Scratch, min_lines: int, min_words: int) -> DataFrame:
+def repeated_runs(docs: DataFrame, scratch: Scratch, min_lines: int, min_words: int, min_docs: int) -> DataFrame:
     """``(d, h, first, last)``: lines ``first..last`` of a text are a run with an earlier copy."""
     texts = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), "text").filter("text IS NOT NULL")
     numbered = F.transform(F.split("text", "\n", -1), lambda s, i: F.struct(i.alias("line"), s.alias("s")))
@@ -71,7 +73,12 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, min_lines: int, min_words:
         (F.regexp_count("x.s", F.lit(WORD + "+")) >= min_words).alias("long"),
     )
     runs = _seen_twice(scratch.table(lines, "lines"), scratch, 1)
-    found = runs.filter("later AND long") if min_lines > 1 else runs.filter("later")
+    found = runs.filter("later")
+    if min_lines > 1:
+        # Rows that repeat a document do not count twice. A table of its own, as the ranks are.
+        often = runs.filter(F.col("places") >= min_docs).select("rank", *KEY).distinct().groupBy("rank").agg(F.count(F.lit(1)).alias("docs"))
+        often = scratch.table(often.filter(F.col("docs") >= min_docs).select("rank", F.lit(True).alias("often")), "often")
+        found = found.filter(F.col("long") | (F.col("places") >= min_docs)).join(often, "rank", "left").filter("long OR often")
     found = found.select(*KEY, "first", "last")
     width = 1
     while width < min_lines:
@@ -87,9 +94,9 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, min_lines: int, min_words:
 
 
 def _seen_twice(runs: DataFrame, scratch: Scratch, width: int) -> DataFrame:
-    """The runs whose rank occurs at two places; ``later`` tells those with an earlier copy."""
+    """The runs whose rank occurs at two places; ``later`` tells those with an earlier copy, ``places`` how often it occurs."""
     place = F.struct(*KEY, "seq")
-    ends = runs.groupBy("rank").agg(F.min(place).alias("lowest"), F.max(place).alias("highest")).filter("lowest < highest")
+    ends = runs.groupBy("rank").agg(F.min(place).alias("lowest"), F.max(place).alias("highest"), F.count(F.lit(1)).alias("places")).filter("lowest < highest")
     # A table of its own, so that a join on a frequent rank can be split.
-    ranks = scratch.table(ends.select("rank", "lowest"), f"ranks-{width}")
+    ranks = scratch.table(ends.select("rank", "lowest", "places"), f"ranks-{width}")
     return scratch.table(runs.join(ranks, "rank").withColumn("later", F.col("lowest") < place).drop("lowest"), f"runs-{width}")

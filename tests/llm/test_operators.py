@@ -185,6 +185,18 @@ def test_op8_matches_brute_force(spark):
     assert got == want
 
 
+def test_op8_deletes_short_lines_of_many_documents(spark):
+    from cartwheel.llm.lines import drop_repeated_lines
+
+    texts = [f"u{i}\nAll rights reserved.\nv{i}" + ("\nSeldom." if i < 49 else "") + f"\nw{i}" for i in range(60)]
+    docs = table(spark, texts)
+    docs = docs.unionByName(docs.filter("doc_id < 20"))  # repeated rows are one document
+    got = drop_repeated_lines(docs).collect()
+    assert len(got) == 80
+    for r in got:
+        assert r.text == (texts[r.doc_id].replace("All rights reserved.\n", "") if r.doc_id else texts[0])
+
+
 def test_op10_matches_brute_force(spark):
     from cartwheel.llm.minhash import near_documents
 
