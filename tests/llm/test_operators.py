@@ -240,6 +240,17 @@ def test_op1_meets_targets(spark):
     assert all(abs(taken[s] - want[s]) <= 60 for s in want)
 
 
+def test_op1_mixes_rows_of_several_sources(spark):
+    from cartwheel.llm.mixing import mix
+
+    docs = table(spark, ["w " * 10] * 80, source=["a"] * 40 + ["a,b"] * 40)
+    rows = mix(docs, F.split("source", ","), weights={"a": 1.0, "b": 3.0}).select("source", "mix.*").collect()
+    taken = collections.Counter()
+    for r in rows:
+        taken[r.source] += r.taken
+    assert len(rows) == 80 and taken == {"a": 200, "a,b": 600}
+
+
 def test_op1_routes_overlapping_sources_at_least_cost():
     from cartwheel.llm.mixing import route, targets_of
 
