@@ -41,10 +41,10 @@ def compare_in_blocks(rows: DataFrame, bucket: str, member: str, payload: DataFr
     dealt = dealt.withColumn("pair", F.explode(F.transform(met, lambda k: pair(k, F.col("own")))))
     dealt = dealt.select(*rows.columns, "own", F.col("pair.i").alias("bi"), F.col("pair.j").alias("bj")).join(payload, member)
     keys = [bucket, "bi", "bj"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_grouped(keys, compare), schema)
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(whole_groups(keys, compare), schema)
 
 
-def _grouped(keys: list[str], compare: Compare):
+def whole_groups(keys: list[str], compare: Compare):
     """Cut the sorted rows of a partition into whole groups, some batches at a time."""
 
     def cuts_of(table: pa.Table) -> np.ndarray:

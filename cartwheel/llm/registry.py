@@ -15,7 +15,10 @@ from .mixing import mix, word_count
 from .packing import pack
 from .pii import KINDS, find_personal_data
 from .quality import quality_scores
+from .resampling import importance_resample
+from .sentencepieces import encode_documents
 from .sharding import shard_documents
+from .spelling import spelling_variants, word_counts
 from .substring import remove_repeats
 from .vectors import near_vectors
 
@@ -95,6 +98,28 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents(_read(spark, sf_dir, "documents"), shingle=4).drop("text_hash")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def slip(doc_id: Column, word: Column) -> Column:
+        """One occurrence in 199 loses a letter, by the CRC-32 of its document and itself."""
+        h = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), word).cast("binary"))
+        at, size = F.pmod(h, F.char_length(word).cast("bigint")).cast("int"), F.char_length(word)
+        return F.when(h % 199 == 0, F.concat(F.substring(word, F.lit(1), at), F.substring(word, at + 2, size))).otherwise(word)
+
+    counts = word_counts(_read(spark, sf_dir, "documents"), slip)
+    return spelling_variants(counts.filter((F.char_length("word") >= 6) & (F.col("n") >= 5)))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -108,6 +133,9 @@ QUERIES: dict[str, Query] = {
         op8_line_dedup,
         op9_sharding,
         op10_minhash,
+        op11_spelling,
+        op12_resampling,
+        op13_sentencepiece,
     )
 }
 

@@ -101,10 +101,10 @@ class Words(NamedTuple):
     per_doc: np.ndarray
 
 
-def words(t: Texts) -> Words:
-    """Where the words of all rows start and end, ascending, with their row."""
+def words(t: Texts, space: np.ndarray = SPACE) -> Words:
+    """Where the words of all rows start and end, ascending, with their row; ``space`` tells the bytes that are in none."""
     n = len(t.buf)
-    solid = ~SPACE[t.buf]
+    solid = ~space[t.buf]
     begins = np.zeros(n + 1, dtype=bool)
     begins[t.off] = True
     before = np.zeros(n, dtype=bool)
