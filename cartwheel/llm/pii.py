@@ -4,7 +4,8 @@ The patterns find well-formed emails, IP addresses, card and phone numbers in
 every text. The conditional random field labels the words around digits and
 ``@`` signs by word-shape features, and adds spans whose shape speaks for a
 kind though the pattern's check refused it, such as a number with a mistyped
-digit. It is trained on a small labelled table and decoded by Viterbi in numpy,
+digit, and secrets: long random values that a name such as ``token`` or
+``api_key`` introduces. It is trained on a small labelled table and decoded by Viterbi in numpy,
 many windows of words at a time. Words with neither a digit nor an ``@`` are
 outside every span by rule; the two of them on each side of a candidate are
 its context.
@@ -15,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-LABELS = ("O", "B-email", "B-ip", "B-card", "I-card", "B-phone", "I-phone")
+#: What the field finds: the patterns' kinds, then secrets.
+ALL_KINDS = (*KINDS, "secret")
+LABELS = ("O", "B-email", "B-ip", "B-card", "I-card", "B-phone", "I-phone", "B-secret")
 CONTEXT = 2
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -34,7 +38,6 @@ _WORD = re.compile(r"[^\x20\t-\r]+")
 _MARK = re.compile(r"[0-9@]")
 #: A word with a mark; the look-behind lets each word be tried from its beginning only.
 _MARKED = re.compile(r"(?<![^\x20\t-\r])[^\x20\t-\r0-9@]*+[0-9@][^\x20\t-\r]*+")
-_SPACE = " \t\n\x0b\x0c\r"
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -42,7 +45,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Well-formed personal data: leftmost matches of each kind that pass its check, sorted."""
     out = [("email", s, e) for s, e in _emails(text)]
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") for p in m[0].split(".")]
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in parts):
             out.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         digits = [int(c) for c in m[0] if c in "0123456789"] if m.end() - m.start() < 64 else []
@@ -79,7 +83,7 @@ def find_personal_data(docs: DataFrame, model: CRF | None = None) -> DataFrame:
     Returns, for each input row, ``doc_id, base array<struct<kind, start,
     end>>`` (the patterns' spans) and ``added`` (the CRF's, none overlapping a
     pattern's), in code points, end exclusive, sorted by start, then kind in
-    the order of ``KINDS``. Null and empty texts have none; repeated rows
+    the order of ``ALL_KINDS``. Null and empty texts have none; repeated rows
     repeat; an empty table gives an empty table. The CRF is fitted here, on
     :func:`labelled_table`, unless given.
     """
@@ -110,25 +114,36 @@ def digest(spans: list[dict]) -> str:
 # --- the labelled table -----------------------------------------------------------------------
 
 
-def labelled_table(rows: int = 240, seed: int = 5) -> list[tuple[list[str], list[str]]]:
+def labelled_table(rows: int = 640, seed: int = 5) -> list[tuple[list[str], list[str]]]:
     """Short word sequences with a label for each word, built by rule.
 
-    Half of them hold one piece of personal data among plain words, half hold
-    numbers that are none: years, prices, versions, times, hashes, counts.
+    Half of them hold one piece of personal data or a secret among invented
+    words, half hold numbers that are none: years, prices, versions, times,
+    counts, and hashes that no name of a secret introduces.
     """
     rng = np.random.default_rng(seed)
+    pick = lambda *options: options[int(rng.integers(len(options)))]
     digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
-    plain = ["the", "and", "Mail", "of", "at", "call", "und", "le", "para", "Thorea", "in,", "end.", "is", "number", "from", "(see", "note)"]
-    word = lambda: str(rng.choice(plain))
-    mark = lambda: str(rng.choice(["", "", "", ".", ",", ";", "!!", "###"]))
+    letters = "aeioubcdfghjklmnprstvwéèñóüßçà"
+
+    def word(plain: bool = False) -> str:
+        w = "".join(letters[i] for i in rng.integers(0, 20 if plain else len(letters), int(rng.integers(1, 11))))
+        return w if plain else pick(w, w, w, w.capitalize(), w.upper()) + pick("", "", "", "", ",", ".", ":", ")")
+
+    def value() -> str:
+        """A long random value: hexadecimal, base 64, or letters and digits after a short prefix."""
+        raw = rng.bytes(int(rng.integers(12, 33)))
+        b64 = "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"[x % 64] for x in rng.bytes(int(rng.integers(20, 45)))) + digits(1)
+        return pick(raw.hex(), raw.hex(), raw.hex().upper(), b64, b64 + "=", pick("sk_live_", "ghp_", "AKIA", "xox-") + raw.hex()[:24])
+
+    mark = lambda: pick("", "", "", "", ".", ",", ";", "!!", "###", "***", "$$$")
     out = []
     for i in range(rows):
-        make = i % 14
+        make = i % 20
         if make in (0, 1):
-            name = word().strip(".,()").lower()
-            own = [(f"{name}.{digits(2)}@mail{digits(1)}.example.com", "B-email")]
+            own = [(f"{word(True)}.{digits(2)}@mail{digits(1)}.example.com", "B-email")]
         elif make == 2:
-            own = [(f"{word().strip('.,()')}@{word().strip('.,()').lower()}.org", "B-email")]
+            own = [(f"{word(True)}@{word(True)}.{pick('org', 'net', 'de')}", "B-email")]
         elif make in (3, 4):
             own = [(".".join(str(x) for x in rng.integers(0, 256, 4)), "B-ip")]
         elif make == 5:
@@ -139,10 +154,17 @@ def labelled_table(rows: int = 240, seed: int = 5) -> list[tuple[list[str], list
             own = [("+" + digits(1), "B-phone"), (f"({digits(3)})", "I-phone"), (f"{digits(3)}-{digits(4)}", "I-phone")]
         elif make == 9:
             own = [("+" + digits(2), "B-phone"), (digits(3), "I-phone"), (digits(3), "I-phone"), (digits(4), "I-phone")]
+        elif make in (10, 11, 12):
+            name = pick("", "", "my_", "db_", "x-") + pick("token", "secret", "password", "api_key", "apikey", "access_key", "passwd", "auth_token", "client_secret")
+            name, quote = pick(name, name.upper(), name.capitalize()), pick('"', '"', "'", "")
+            held, sign = quote + value() + quote, pick("=", "=", ":", ":=", "=>")
+            own = pick([(name, "O"), (sign, "O"), (held, "B-secret")], [(name, "O"), (sign, "O"), (held, "B-secret")], [(name + pick(":", "="), "O"), (held, "B-secret")], [(name + pick("=", ":") + held, "B-secret")])
+        elif make == 13:
+            own = [(pick("commit", "sha256", "md5", "rev", "id", "hash", "build", "etag"), "O"), *pick([], [(pick("=", ":"), "O")]), (pick("", '"') + rng.bytes(20).hex() + pick("", '"'), "O")]
         else:
             odd = [digits(4), "3.", digits(2) + "." + digits(2), "v" + digits(1) + "." + digits(1) + "." + digits(1), digits(2) + ":" + digits(2), "20" + digits(2) + "-" + digits(2) + "-" + digits(2)]
-            odd += ['"' + rng.bytes(20).hex() + '"', digits(1) + "," + digits(3), digits(7), "a" + digits(2) + "b", "2.0", digits(5), "@" + word(), digits(3) + "-" + digits(4), digits(25), digits(2) + "%"]
-            own = [(str(rng.choice(odd)), "O") for _ in range(int(rng.integers(1, 4)))]
+            odd += ['"' + rng.bytes(20).hex() + '"', digits(1) + "," + digits(3), digits(7), "a" + digits(2) + "b", "2.0", digits(5), "@" + word(), digits(3) + "-" + digits(4), digits(25), digits(2) + "%", "x=" + digits(2)]
+            own = [(pick(*odd), "O") for _ in range(int(rng.integers(1, 4)))]
         if own[-1][1] != "O":
             own[-1] = (own[-1][0] + mark(), own[-1][1])
         before, after = ([(word(), "O") for _ in range(int(rng.integers(1, 4)))] for _ in range(2))
@@ -159,8 +181,13 @@ def word_features(word: str) -> tuple[str, ...]:
     core = word.strip(".,;:!?#$%&*|<>\"'()[]") or word
     runs = re.sub(r"[^\W\d_]+", "x", re.sub(r"[0-9]+", "d", core))
     n = sum(c in "0123456789" for c in core)
+    value = _value(word)
+    random = len(value) >= 20 and _RANDOM.fullmatch(value) is not None and n > 0
+    named = _NAMED.match(word) is not None
     return (
-        "shape=" + runs[:24],
+        # A long mixture of letters and digits has a shape of its own each time.
+        "shape=" + ("random" if random else runs),
+        f"named={named}{random}",
         f"digits={min(n, 20)}",
         f"at={'@' in core}",
         f"plus={word.startswith('+')}",
@@ -171,6 +198,20 @@ def word_features(word: str) -> tuple[str, ...]:
     )
 
 
+#: Names that introduce a secret, alone or before a value.
+_NAMED = re.compile(r"[\"'(\[]?[\w.-]*(?:token|secret|passw|api_?key|access_?key|auth)[\w.-]*(?![\w.-])", re.IGNORECASE)
+#: Letters of hexadecimal, base 64 and prefixed values.
+_RANDOM = re.compile(r"[A-Za-z0-9+/_-]+=*")
+_SIGNS = frozenset(("=", ":", ":=", "=>"))
+
+
+def _value(word: str) -> str:
+    """What a word assigns, or the word itself, without quotes and marks around."""
+    name = _NAMED.match(word)
+    rest = word[name.end() :].lstrip(":=>") if name and word[name.end() : name.end() + 1] in (":", "=") else word
+    return rest.strip(".,;:!?#$%&*|<>\"'()[]")
+
+
 class CRF:
     """A linear-chain conditional random field; weights are numpy arrays."""
 
@@ -195,12 +236,13 @@ class CRF:
                 gold[i, t, LABELS.index(labels[t])] = 1
                 live[i, t] = True
         pairs = np.einsum("ntj,ntk->jk", gold[:, :-1], gold[:, 1:])
+        flat = design.reshape(-1, len(index))
         emit, move = np.zeros((len(index), k)), np.zeros((k, k))
         sums = [np.full_like(emit, 1e-8), np.full_like(move, 1e-8)]
         for _ in range(steps):
             score = design @ emit
             node, edge = cls._marginals(score, move, live)
-            grads = [np.einsum("ntf,ntk->fk", design, gold - node) - decay * len(table) * emit, pairs - edge - decay * len(table) * move]
+            grads = [flat.T @ (gold - node).reshape(len(flat), k) - decay * len(table) * emit, pairs - edge - decay * len(table) * move]
             for w, g, s in zip((emit, move), grads, sums, strict=True):
                 s += g * g
                 w += rate * g / np.sqrt(s)
@@ -213,13 +255,19 @@ class CRF:
 
     @staticmethod
     def _features(words: list[str]) -> Iterator[list[str]]:
-        """Features of one word after the other: its own, some of the word before and of the word after."""
-        before, own = None, word_features(words[0]) if words else None
+        """Features of one word after the other: its own, some of the word before and of the word after.
+
+        A sign such as ``=`` passes on whether a name of a secret stands before it.
+        """
+        before, own, passed = None, word_features(words[0]) if words else None, False
         for t in range(len(words)):
             after = word_features(words[t + 1]) if t + 1 < len(words) else None
-            around = [f"p:{x}" for x in before[:4]] if before else ["p:none"]
-            around += [f"n:{x}" for x in after[:2]] if after else ["n:none"]
+            around = [f"p:{x}" for x in before[:5]] if before else ["p:none"]
+            around += [f"n:{x}" for x in after[:3]] if after else ["n:none"]
+            around.append(f"introduced={passed}{own[1].endswith('True')}")
             yield [*own, *around]
+            named = own[1] == "named=TrueFalse"
+            passed = named or (passed and words[t] in _SIGNS)
             before, own = own, after
 
     @staticmethod
@@ -310,39 +358,50 @@ class CRF:
                 core = word.rstrip(".,;:!?#$%&*|<>\"'()[]") or word
                 lead = len(window[first][0]) - len(window[first][0].lstrip("\"'[<|#$%&*(" if kind != "phone" else "\"'[<|#$%&*"))
                 span = (kind, start + lead, at + len(core))
+                if kind == "secret":
+                    value = _value(word)
+                    begin = at + word.rindex(value)
+                    span = (kind, begin, begin + len(value))
                 if span[1] < span[2] and not any(s < span[2] and span[1] < e for _, s, e in base[i]):
                     out[i].append(span)
-        return [sorted(set(x), key=lambda s: (s[1], KINDS.index(s[0]), s[2])) for x in out]
+        return [sorted(set(x), key=lambda s: (s[1], ALL_KINDS.index(s[0]), s[2])) for x in out]
 
 
 def _windows(text: str) -> list[list[tuple[str, int]]]:
-    """Runs of words with a digit or ``@``, and ``CONTEXT`` words around; runs that touch are one."""
-    out, last_end = [], -1
-    for start, end in (m.span() for m in _MARKED.finditer(text)):
-        between = text[last_end:start] if out else ""
-        if out and len(between) < 80 and len(_WORD.findall(between)) <= 2 * CONTEXT:
-            out[-1] = (out[-1][0], end)
+    """Runs of words with a digit or ``@``, and ``CONTEXT`` words around; runs that touch are one.
+
+    Runs touch if at most ``2 * CONTEXT`` words lie between. Of a longer gap
+    only the words at both ends are read, however long it is.
+    """
+    windows, done = [], 0
+    for m in _MARKED.finditer(text):
+        gap = _first_words(text, done, m.start(), 2 * CONTEXT + 1)
+        if windows and len(gap) <= 2 * CONTEXT:
+            windows[-1] += gap
         else:
-            out.append((start, end))
-        last_end = end
-    windows = []
-    for start, end in out:
-        head = [(m[0], m.start()) for m in _WORD.finditer(text, _back(text, start), start)]
-        tail = []
-        for m in _WORD.finditer(text, end):
-            tail.append((m[0], m.start()))
-            if len(tail) == CONTEXT:
-                break
-        windows.append(head[-CONTEXT:] + [(m[0], m.start()) for m in _WORD.finditer(text, start, end)] + tail)
+            if windows:
+                windows[-1] += gap[:CONTEXT]
+            windows.append(_last_words(text, done, m.start(), CONTEXT))
+        windows[-1].append((m[0], m.start()))
+        done = m.end()
+    if windows:
+        windows[-1] += _first_words(text, done, len(text), CONTEXT)
     return windows
 
 
-def _back(text: str, start: int) -> int:
-    """A place at a word's beginning, a few words before ``start``."""
-    at = max(0, start - 64)
-    while at > 0 and text[at - 1] not in _SPACE and start - at < 512:
-        at -= 1
-    return at
+def _first_words(text: str, start: int, end: int, n: int) -> list[tuple[str, int]]:
+    return [(m[0], m.start()) for m in islice(_WORD.finditer(text, start, end), n)]
+
+
+def _last_words(text: str, start: int, end: int, n: int) -> list[tuple[str, int]]:
+    """The last ``n`` words of ``text[start:end]``, from ever longer pieces of its end."""
+    size = 64
+    while True:
+        at = max(start, end - size)
+        found = [(m[0], m.start()) for m in _WORD.finditer(text, at, end)]
+        if at == start or len(found) > n:  # the first word of a piece may have begun before it
+            return found[-n:]
+        size *= 4
 
 
 def _chunks(labels: list[str]) -> Iterator[tuple[str, int, int]]:

@@ -13,7 +13,7 @@ from .lines import drop_repeated_lines
 from .minhash import near_documents
 from .mixing import mix, word_count
 from .packing import pack
-from .pii import KINDS, find_personal_data
+from .pii import ALL_KINDS, KINDS, find_personal_data
 from .quality import quality_scores
 from .resampling import importance_resample
 from .sentencepieces import encode_documents
@@ -41,11 +41,11 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    order = F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"], F.array_position(F.lit(list(KINDS)), s["kind"]).alias("k"), s["end"], s["kind"]))
+    order = F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"], F.array_position(F.lit(list(ALL_KINDS)), s["kind"]).alias("k"), s["end"], s["kind"]))
     kinds = F.transform("base", lambda s: s["kind"])
     counts = [F.size(F.filter(kinds, lambda x: x == F.lit(k))).cast("bigint").alias(f"n_{k}") for k in KINDS]  # noqa: B023
     return found.select(
-        "doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.array_sort(order)).alias("spans"), F.size("added").cast("bigint").alias("n_added")
+        "doc_id", *counts, F.size(F.filter("added", lambda s: s["kind"] == "secret")).cast("bigint").alias("n_secret"), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.array_sort(order)).alias("spans"), F.size("added").cast("bigint").alias("n_added")
     )
 
 
