@@ -12,6 +12,7 @@ more, up to the words that are left.
 
 from __future__ import annotations
 
+import functools
 from collections import deque
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,8 +24,9 @@ from .scratch import Scratch
 WORD = r"[^\x20\x09-\x0D]+"
 #: More patterns than this are an error: their number must not grow with the documents.
 MAX_PATTERNS = 10_000
-#: Seeded order is cut in bins of bins of this number, before rows are looked at one by one.
+#: The seeded order is cut in bins of bins of this number, until a bin holds at most LAST_BIN rows of a pattern.
 BINS = 1024
+LAST_BIN = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -54,7 +56,7 @@ def targets_of(sizes: dict[str | None, int], weights: dict[str | None, float], t
 
 
 def route(patterns: list[tuple[int, list[int]]], quotas: list[int], max_repeats: int = 3) -> list[list[int]]:
-    """Words that each pattern gives each source: a min-cost flow by successive shortest paths.
+    """Words that each pattern gives each source: a min-cost flow.
 
     ``patterns`` are (words, sources); pass ``k`` over a pattern costs ``k``
     for each word.
@@ -62,47 +64,65 @@ def route(patterns: list[tuple[int, list[int]]], quotas: list[int], max_repeats:
     n, m = len(patterns), len(quotas)
     sink = 1 + n + m
     graph: list[list[int]] = [[] for _ in range(sink + 1)]
-    to, room, cost = [], [], []
+    to, room = [], []
 
-    def edge(a: int, b: int, cap: int, price: int) -> int:
-        for x, y, c, p in ((a, b, cap, price), (b, a, 0, -price)):
+    def edge(a: int, b: int, cap: int) -> int:
+        for x, y, c in ((a, b, cap), (b, a, 0)):
             graph[x].append(len(to))
             to.append(y)
             room.append(c)
-            cost.append(p)
         return len(to) - 2
 
-    links = {}
+    links, entry = {}, []
     for p, (words, members) in enumerate(patterns):
-        for k in range(max_repeats):
-            edge(0, 1 + p, words, k)
+        entry.append(edge(0, 1 + p, 0))
         for s in members:
-            links[p, s] = edge(1 + p, 1 + n + s, max_repeats * words, 0)
+            links[p, s] = edge(1 + p, 1 + n + s, max_repeats * words)
     for s, q in enumerate(quotas):
-        edge(1 + n + s, sink, q, 0)
+        edge(1 + n + s, sink, q)
+    # All costs stand on the first edges, so the cheapest flow is found pass by
+    # pass: the capacity of one more pass, then all that can flow.
+    for _ in range(max_repeats):
+        for e, (words, _members) in zip(entry, patterns, strict=True):
+            room[e] += words
+        _fill(graph, to, room, 0, sink)
+    return [[room[links[p, s] ^ 1] if (p, s) in links else 0 for s in range(m)] for p in range(n)]
+
+
+def _fill(graph: list[list[int]], to: list[int], room: list[int], source: int, sink: int) -> None:
+    """Augment to a maximum flow: blocking flows in layered graphs."""
     while True:
-        far: list[float] = [float("inf")] * (sink + 1)
-        far[0], via, queue, queued = 0, {}, deque([0]), {0}
+        layer = {source: 0}
+        queue = deque([source])
         while queue:
             a = queue.popleft()
-            queued.discard(a)
             for e in graph[a]:
-                if room[e] > 0 and far[a] + cost[e] < far[to[e]]:
-                    far[to[e]], via[to[e]] = far[a] + cost[e], e
-                    if to[e] not in queued:
-                        queue.append(to[e])
-                        queued.add(to[e])
-        if sink not in via:
-            break
-        path, at = [], sink
-        while at:
-            path.append(via[at])
-            at = to[via[at] ^ 1]
-        push = min(room[e] for e in path)
-        for e in path:
-            room[e] -= push
-            room[e ^ 1] += push
-    return [[room[links[p, s] ^ 1] if (p, s) in links else 0 for s in range(m)] for p in range(n)]
+                if room[e] > 0 and to[e] not in layer:
+                    layer[to[e]] = layer[a] + 1
+                    queue.append(to[e])
+        if sink not in layer:
+            return
+        nxt, path, at = [0] * len(graph), [], source
+        while True:
+            if at == sink:
+                push = min(room[e] for e in path)
+                for e in path:
+                    room[e] -= push
+                    room[e ^ 1] += push
+                del path[next(i for i, e in enumerate(path) if not room[e]) :]  # go on from the first edge that is full
+                at = to[path[-1]] if path else source
+            while nxt[at] < len(graph[at]):
+                e = graph[at][nxt[at]]
+                if room[e] > 0 and layer.get(to[e], -1) == layer[at] + 1:
+                    path.append(e)
+                    at = to[e]
+                    break
+                nxt[at] += 1
+            else:
+                if at == source:
+                    break
+                at = to[path.pop() ^ 1]
+                nxt[at] += 1
 
 
 def mix(docs: DataFrame, members: Column, weights: dict[str | None, float] | None = None, total: int | None = None, max_repeats: int = 3, seed: int = 7, size: Column | None = None) -> DataFrame:
@@ -125,10 +145,13 @@ def mix(docs: DataFrame, members: Column, weights: dict[str | None, float] | Non
     spark = docs.sparkSession
     boxed = docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row"), F.coalesce(members, F.array(F.lit(None).cast("string"))).alias("m"), *([] if size is None else [size.alias("size")]))
     own = F.array_sort(F.array_distinct("m"))
-    keyed = boxed.select("row", own.alias("m"), (word_count(F.col("row.text")) if size is None else F.col("size")).alias("size"), F.pmod(F.xxhash64("row.doc_id", F.lit(seed)), F.lit(1 << 40)).alias("u"))
+    keyed = boxed.select("row", own.alias("m"), (word_count(F.col("row.text")) if size is None else F.col("size")).alias("size"), F.pmod(F.xxhash64("row.doc_id", *(["row.text"] if "text" in docs.columns else []), F.lit(seed)), F.lit(1 << 40)).alias("seeded"))
     keyed = keyed.withColumn("pattern", F.to_json("m"))
     # Row ids live in a table, so that every later step sees the same ones.
-    ids = scratch.table(keyed.withColumn("uid", F.monotonically_increasing_id()), "rows")
+    ids = keyed.withColumn("uid", F.monotonically_increasing_id())
+    # The seeded order: 40 bits of the row's content, then 20 that part identical rows.
+    ids = ids.withColumn("u", F.shiftleft("seeded", 20) + F.pmod(F.xxhash64("uid"), F.lit(1 << 20))).drop("seeded")
+    ids = scratch.table(ids, "rows")
     rows = ids.select("uid", "pattern", "size", "u", F.col("row.doc_id").alias("doc_id"))
 
     found = rows.groupBy("pattern").agg(F.sum("size").alias("words")).limit(MAX_PATTERNS + 1).collect()
@@ -155,7 +178,8 @@ def mix(docs: DataFrame, members: Column, weights: dict[str | None, float] | Non
     plans = spark.createDataFrame(plan, schema)  # at most MAX_PATTERNS rows
 
     once_more = scratch.table(_seeded(rows, F.broadcast(plans.filter("rest > 0").select("pattern", "rest")), scratch), "once-more")
-    chosen = ids.join(once_more.withColumn("more", F.lit(1)), "uid", "left").join(F.broadcast(plans), "pattern")
+    # Lists of rows grow with the corpus: their joins are merge joins at every size.
+    chosen = ids.join(once_more.withColumn("more", F.lit(1)).hint("merge"), "uid", "left").join(F.broadcast(plans), "pattern")
     copies = F.col("whole") + F.coalesce("more", F.lit(0))
     info = F.struct("size", "pattern", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
     return chosen.select("row.*", info.alias("mix"))
@@ -164,30 +188,45 @@ def mix(docs: DataFrame, members: Column, weights: dict[str | None, float] | Non
 def _seeded(rows: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
     """``uid`` of the rows that make up ``rest`` words of each pattern, in seeded order.
 
+    Rows are taken in the order until the next one does not fit; the rows that
+    are not larger than the words still missing are tried again, until there
+    are none. Then the one row left whose size is nearest to the gap is taken,
+    if that brings the words nearer.
+    """
+    taken, step = None, 0
+    left = rows.filter("size > 0").join(wanted, "pattern").withColumn("gap", F.col("rest")).drop("rest")
+    left = scratch.table(left, "left-0")
+    while not (small := left.filter("size <= gap")).isEmpty():
+        step += 1
+        got = scratch.table(_in_order(small, scratch, step), f"got-{step}")
+        taken = got if taken is None else taken.unionByName(got)
+        words = got.groupBy("pattern").agg(F.sum("size").alias("have"))
+        others = left.join(got.select("uid").hint("merge"), "uid", "left_anti").join(F.broadcast(words), "pattern", "left")
+        left = scratch.table(others.withColumn("gap", F.col("gap") - F.coalesce("have", F.lit(0))).drop("have"), f"left-{step}")
+        scratch.drop(f"left-{step - 1}")
+    off = F.abs(F.col("size") - F.col("gap"))
+    near = left.withColumn("off", off).filter("off < gap")
+    nearest = near.groupBy("pattern").agg(F.min(F.struct("off", "u", "doc_id", "uid")).alias("best")).select("best.uid")
+    return nearest if taken is None else taken.select("uid").unionByName(nearest)
+
+
+def _in_order(rows: DataFrame, scratch: Scratch, step: int) -> DataFrame:
+    """The rows that come, in seeded order, before the ``gap`` of their pattern is exceeded.
+
     Bins of the order are summed and the bin in which the words run out is
-    opened, twice; the few rows of the last one are taken one by one. The
-    words still missing are then met by the one row left whose size is
-    nearest to them.
+    opened, twice and until it is small; its rows are looked at one by one.
     """
-    left = rows.join(wanted, "pattern")
-    taken = []
-    for level in (1, 2):
-        bin_of = F.shiftright("u", 40 - 10 * level).bitwiseAND(BINS - 1)
-        sums = left.withColumn("bin", bin_of).groupBy("pattern", "rest", "bin").agg(F.sum("size").alias("words"))
+    left, taken, level = rows.withColumn("now", F.col("gap")), [], 0
+    while level < 2 or (level < 6 and left.groupBy("pattern").count().filter(F.col("count") > LAST_BIN).count()):
+        level += 1
+        bin_of = F.shiftright("u", 60 - 10 * level).bitwiseAND(BINS - 1)
+        sums = left.withColumn("bin", bin_of).groupBy("pattern", "now", "bin").agg(F.sum("size").alias("words"))
         upto = sums.withColumn("upto", F.sum("words").over(Window.partitionBy("pattern").orderBy("bin")))
-        cut = upto.filter("upto > rest").groupBy("pattern").agg(F.min(F.struct("bin", (F.col("rest") - F.col("upto") + F.col("words")).alias("now"))).alias("cut"))
-        cut = F.broadcast(scratch.table(cut.select("pattern", F.col("cut.bin").alias("cut_bin"), F.col("cut.now").alias("now")), f"cut-{level}"))
-        parted = left.withColumn("bin", bin_of).join(cut, "pattern", "left")
-        taken.append(parted.filter("cut_bin IS NULL OR bin < cut_bin").select("uid", "pattern"))
-        left = parted.filter("bin = cut_bin").withColumn("rest", F.col("now")).drop("bin", "cut_bin", "now")
-    last = scratch.table(left, "last-bin")
-    upto = last.withColumn("upto", F.sum("size").over(Window.partitionBy("pattern").orderBy("u", "doc_id", "size", "uid")))
-    taken.append(upto.filter("upto <= rest").select("uid", "pattern"))
-    got = taken[0].unionByName(taken[1]).unionByName(taken[2])
-    got = scratch.table(got, "in-order")
-    words = rows.join(got.select("uid"), "uid").groupBy("pattern").agg(F.sum("size").alias("have"))
-    gap = wanted.join(words, "pattern", "left").select("pattern", (F.col("rest") - F.coalesce("have", F.lit(0))).alias("gap")).filter("gap > 0")
-    gap = F.broadcast(scratch.table(gap, "gap"))
-    others = rows.join(got.select("uid"), "uid", "left_anti").join(gap, "pattern").withColumn("off", F.abs(F.col("size") - F.col("gap"))).filter("off < gap")
-    nearest = others.groupBy("pattern").agg(F.min(F.struct("off", "u", "doc_id", "uid")).alias("best")).select("best.uid", "pattern")
-    return got.unionByName(nearest).select("uid")
+        cut = upto.filter("upto > now").groupBy("pattern").agg(F.min(F.struct("bin", (F.col("now") - F.col("upto") + F.col("words")).alias("rest"))).alias("cut"))
+        cut = scratch.table(cut.select("pattern", F.col("cut.bin").alias("cut_bin"), F.col("cut.rest").alias("rest")), f"cut-{step}-{level}")
+        parted = left.withColumn("bin", bin_of).join(F.broadcast(cut), "pattern", "left")  # a row for each pattern
+        taken.append(parted.filter("cut_bin IS NULL OR bin < cut_bin").select(*rows.columns))
+        left = parted.filter("bin = cut_bin").withColumn("now", F.col("rest")).drop("bin", "cut_bin", "rest")
+    last = left.withColumn("upto", F.sum("size").over(Window.partitionBy("pattern").orderBy("u", "uid")))
+    taken.append(last.filter("upto <= now").select(*rows.columns))
+    return functools.reduce(DataFrame.unionByName, taken)
