@@ -30,21 +30,23 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, tables: int = TABL
     ``vectors`` has ``vec_id``, ``embedding`` and ``label``. Returns one row
     per input row: ``vec_id, n_links, component_id, kept``. A null id or label and a
     vector that is null, empty, zero or holds null or non-finite values link
-    with nothing; vectors of different dimensions do not link. Equal vectors
-    of one label are one class until the end, so a group of copies costs one
-    vector, and a bucket of many near copies is compared in blocks.
+    with nothing; vectors of different dimensions do not link. Labels of any
+    type are compared as text. Rows that share a ``vec_id`` are vectors of
+    their own, each with its links. Equal vectors of one label are one class
+    until the end, so a group of copies costs one vector, and a bucket of many
+    near copies is compared in blocks. An empty table gives an empty table.
     """
     scratch = Scratch(vectors.sparkSession, "vectors")
-    rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+    rows = vectors.select("vec_id", F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("v"))
     fine = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))) & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("usable", F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull() & fine, F.lit(False)))
     usable = rows.filter("usable").select("vec_id", "label", F.transform("v", lambda x: x + F.lit(0.0)).alias("v"))
-    classes = scratch.table(
-        usable.groupBy("label", "v").agg(F.min("vec_id").alias("class_id"), F.count(F.lit(1)).alias("copies")), "classes"
-    )
+    same = usable.groupBy("label", "v").agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+    # Stored with their numbers, so that every later step sees the same ones.
+    classes = scratch.table(same.withColumn("class_id", F.monotonically_increasing_id()), "classes")
     signed = scratch.table(
         classes.select("class_id", "copies", "label", "v").mapInArrow(
-            _signatures(tables, bits, seed), "class_id bigint, copies bigint, label bigint, u array<double>, keys array<int>"
+            _signatures(tables, bits, seed), "class_id bigint, copies bigint, label string, u array<double>, keys array<int>"
         ),
         "signed",
     )
@@ -60,11 +62,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, tables: int = TABL
     )
     component = connected_components(found.filter("class_id <> root").select(F.col("class_id").alias("a"), F.col("root").alias("b")), scratch)
     links = found.groupBy("class_id").agg(F.sum("links").alias("links"))
-    per_class = (
-        classes.join(links, "class_id", "left")
-        .join(component.withColumnRenamed("node", "class_id"), "class_id", "left")
-        .select("label", "v", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "class_id").alias("component_id"))
-    )
+    joined = classes.join(links, "class_id", "left").join(component.withColumnRenamed("node", "class_id"), "class_id", "left")
+    joined = joined.select("label", "v", "first_id", "component", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    joined = scratch.table(joined, "joined")
+    names = joined.filter("component IS NOT NULL").groupBy("component").agg(F.min("first_id").alias("least"))
+    per_class = joined.join(names, "component", "left").select("label", "v", "n_links", F.coalesce("least", "first_id").alias("component_id"))
     linked = usable.join(per_class, ["label", "v"]).select("vec_id", "n_links", "component_id")
     alone = rows.filter("NOT usable").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
@@ -101,7 +103,7 @@ def _signatures(tables: int, bits: int, seed: int):
                 [
                     batch.column(0),
                     batch.column(1),
-                    batch.column(2).cast(pa.int64()),
+                    batch.column(2),
                     pa.ListArray.from_arrays(offsets, pa.array(units)),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * tables), pa.array(keys.ravel())),
                 ],
@@ -129,7 +131,7 @@ def _verify(threshold: float):
     def compare(table: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
         unit, keys = _matrix(table.column("u")), _matrix(table.column("keys"))
         ids, copies = table.column("class_id").to_numpy(), table.column("copies").to_numpy()
-        t, own, label = table.column("t").to_numpy(), table.column("own").to_numpy(), table.column("label").to_numpy()
+        t, own, label = (table.column(c).to_numpy() for c in ("t", "own", "label"))
         links = np.zeros(len(ids), np.int64)
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for a, b in pairs_of(cuts, own, 1 << 15):
