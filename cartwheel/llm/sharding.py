@@ -23,8 +23,8 @@ PARCELS = 4096
 HEAVY = 1 / 128
 #: Parts of a group that is larger than a shard's share.
 PARTS = 64
-#: Row numbers are given out in this many bins of each shard.
-SLOT_BINS = 1024
+#: Row numbers are given out in this many bins, over all shards.
+SLOT_BINS = 8192
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -38,7 +38,8 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
     Rows of equal text share a shard unless their group alone exceeds a
     shard's share of bytes. Null and empty texts have size 1; null texts are a
     group of their own. Repeated rows are rows like any other. An empty table
-    gives an empty table. Reruns agree, up to the order of identical rows.
+    gives an empty table. Reruns over the same files and settings agree; slots,
+    and the parts of a group larger than a share, follow the order of the input.
     """
     if shards < 1:
         raise ValueError("shards must be positive")
@@ -52,7 +53,8 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null")).alias("digest"),
     )
-    rows = scratch.table(rows, "rows")
+    # Stored with a number for each row, so that equal rows can be told apart the same way in every step.
+    rows = scratch.table(rows.withColumn("uid", F.monotonically_increasing_id()), "rows")
     sums = [F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")]
     groups = scratch.table(rows.groupBy("digest").agg(*sums), "groups")
     total = groups.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("bytes", "tokens", "rows")]).first()
@@ -68,8 +70,8 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
 
     items = [(f"g{g['digest']}", [g["bytes"], g["tokens"], g["rows"]]) for g in own]
     items += [(f"p{p['parcel']}", [p["bytes"], p["tokens"], p["rows"]]) for p in parcels]
+    part = F.pmod(F.xxhash64("uid", F.lit(3)), F.lit(PARTS)).cast("int")
     if huge:
-        part = F.pmod(F.xxhash64("doc_id", "digest"), F.lit(PARTS)).cast("int")
         split = rows.filter(F.col("digest").isin([g["digest"] for g in huge])).groupBy("digest", part.alias("part")).agg(*sums).collect()
         items += [(f"h{x['digest']}-{x['part']}", [x["bytes"], x["tokens"], x["rows"]]) for x in split]
     placed = place(items, shards, share)
@@ -80,20 +82,20 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
         F.col("digest").isin([g["digest"] for g in own]) if own else F.lit(False), F.concat(F.lit("g"), "digest")
     )
     if huge:
-        part = F.pmod(F.xxhash64("doc_id", "digest"), F.lit(PARTS)).cast("int")
         name = name.when(F.col("digest").isin([g["digest"] for g in huge]), F.concat(F.lit("h"), "digest", F.lit("-"), part))
     name = name.otherwise(F.concat(F.lit("p"), F.pmod(F.xxhash64("digest"), F.lit(PARCELS))))
+    bins = max(1, SLOT_BINS // shards)
     # Bounded by PARCELS, HEAVY and PARTS, so it may be broadcast.
-    dealt = rows.withColumn("item", name).join(F.broadcast(places), "item").withColumn("bin", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(SLOT_BINS)).cast("int"))
+    dealt = rows.withColumn("item", name).join(F.broadcast(places), "item").withColumn("bin", F.pmod(F.xxhash64("uid", F.lit(5)), F.lit(bins)).cast("int"))
 
-    counts = dealt.groupBy("shard", "bin").agg(F.count(F.lit(1)).alias("n")).collect()  # shards * SLOT_BINS
+    counts = dealt.groupBy("shard", "bin").agg(F.count(F.lit(1)).alias("n")).collect()  # about SLOT_BINS rows
     before, at = [], {}
     for c in sorted(counts, key=lambda c: (c["shard"], c["bin"])):
         before.append((c["shard"], c["bin"], at.get(c["shard"], 0)))
         at[c["shard"]] = at.get(c["shard"], 0) + c["n"]
     schema = StructType([StructField("shard", IntegerType()), StructField("bin", IntegerType()), StructField("before", LongType())])
     offsets = F.broadcast(spark.createDataFrame(before, schema))
-    within = Window.partitionBy("shard", "bin").orderBy("doc_id", "text_crc32", "size")
+    within = Window.partitionBy("shard", "bin").orderBy("doc_id", "text_crc32", "uid")
     numbered = dealt.withColumn("k", F.row_number().over(within) - 1).join(offsets, ["shard", "bin"])
     return numbered.select(
         "doc_id", "size", "tokens", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("before") + F.col("k")).alias("slot"), F.lit(None).cast("int").alias("grown_shard")
