@@ -69,7 +69,7 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, min_lines: int, min_words:
         "seq",
         F.col("x.line").alias("first"),
         F.col("x.line").alias("last"),
-        F.xxhash64("x.s").alias("rank"),
+        F.unhex(F.md5(F.col("x.s").cast("binary"))).alias("rank"),  # 128 bits
         (F.regexp_count("x.s", F.lit(WORD + "+")) >= min_words).alias("long"),
     )
     runs = _seen_twice(scratch.table(lines, "lines"), scratch, 1)
@@ -85,9 +85,9 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, min_lines: int, min_words:
         head = runs.select(*KEY, "seq", "first", F.col("rank").alias("r1"))
         tail = runs.select(*KEY, (F.col("seq") - width).alias("seq"), "last", F.col("rank").alias("r2"))
         on = F.col("a.d").eqNullSafe(F.col("b.d")) & (F.col("a.h") == F.col("b.h")) & (F.col("a.seq") == F.col("b.seq"))
-        paired = head.alias("a").join(tail.alias("b"), on).select("a.d", "a.h", "a.seq", "a.first", "b.last", F.xxhash64("r1", "r2").alias("rank"))
+        paired = head.alias("a").join(tail.alias("b"), on).select("a.d", "a.h", "a.seq", "a.first", "b.last", F.unhex(F.md5(F.concat("r1", "r2"))).alias("rank"))
         width *= 2
-        runs = _seen_twice(paired.distinct(), scratch, width)
+        runs = _seen_twice(paired, scratch, width)
     if min_lines > 1:
         found = found.unionByName(runs.filter("later").select(*KEY, "first", "last"))
     return found
@@ -99,4 +99,5 @@ def _seen_twice(runs: DataFrame, scratch: Scratch, width: int) -> DataFrame:
     ends = runs.groupBy("rank").agg(F.min(place).alias("lowest"), F.max(place).alias("highest"), F.count(F.lit(1)).alias("places")).filter("lowest < highest")
     # A table of its own, so that a join on a frequent rank can be split.
     ranks = scratch.table(ends.select("rank", "lowest", "places"), f"ranks-{width}")
-    return scratch.table(runs.join(ranks, "rank").withColumn("later", F.col("lowest") < place).drop("lowest"), f"runs-{width}")
+    # Rows that repeat a document are one place: no later step meets them twice.
+    return scratch.table(runs.join(ranks, "rank").withColumn("later", F.col("lowest") < place).drop("lowest").distinct(), f"runs-{width}")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .blocks import compare_in_blocks, local_roots
 from .components import connected_components
 from .scratch import Scratch
-from .textkernel import LOWER, Texts, by_doc, int64, mix64, prefix_hash, slices, span_hash, window_hash, words
+from .textkernel import LOWER, Texts, by_doc, int64, mix64, slices, window_hash, word_hash, words
 
 WIDTH = 6
 BANDS = 48
@@ -49,7 +49,7 @@ def near_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     after lower-casing A-Z; a text with fewer words than ``shingle`` has its
     whole sequence as one shingle. Two documents link if ``100 * |A & B| >=
     percent * |A | B|``, confirmed on the full sets (of 64-bit shingle
-    hashes). Returns a row per input row: ``doc_id, text_hash, n_shingles,
+    hashes, made from BLAKE2 hashes of the words). Returns a row per input row: ``doc_id, text_hash, n_shingles,
     component_id`` (smallest ``doc_id`` reachable), ``kept``. Null, empty and
     blank texts, and rows with a null ``doc_id``, have no shingles to compare
     and link with nothing; repeated rows link with each other.
@@ -60,10 +60,14 @@ def near_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     sketches = scratch.table(rows.mapInArrow(_sketch(shingle), schema), "sketches")
     full = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     by_set = ["n_shingles", "s1", "s2"]
-    reps = full.groupBy(*by_set).agg(F.min("doc_id").alias("rep"))
-    # The representative's row: doc_id may repeat only with a text of its own.
+    reps = full.groupBy(*by_set).agg(F.min(F.struct("doc_id", "text_hash")).alias("least")).select(*by_set, F.col("least.doc_id").alias("rep"), F.col("least.text_hash").alias("rep_text"))
+    # The representative's row; rows of one id and text are alike.
     sketch = scratch.table(
-        full.join(reps, by_set).filter("doc_id = rep").dropDuplicates(["rep", *by_set]).select("rep", "n_shingles", "s1", "s2", "registers", "bands"), "reps"
+        full.join(reps, by_set)
+        .filter("doc_id = rep AND text_hash = rep_text")
+        .dropDuplicates(["rep", *by_set])
+        .select("rep", "rep_text", "n_shingles", "s1", "s2", "registers", "bands"),
+        "reps",
     ).withColumn("id", F.xxhash64("rep", "s1", "s2"))
     member = scratch.table(sketch.select("id", F.posexplode("bands").alias("t", "key")).select("id", "t", F.xxhash64("t", "key").alias("bucket")), "bands")
     heads = scratch.table(member.groupBy("bucket").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "heads")
@@ -81,8 +85,8 @@ def near_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     likely = scratch.table(
         stars.mapInArrow(_estimate(percent / 100 - SLACK, stars.columns), "id bigint, head bigint"), "likely"
     )
-    wanted = shared.select("id").distinct().join(sketch.select("id", "rep", "s1", "s2"), "id")
-    texts = rows.filter("doc_id IS NOT NULL").join(wanted.select(F.col("rep").alias("doc_id"), "id", "s1", "s2"), "doc_id")
+    wanted = shared.select("id").distinct().join(sketch.select("id", "rep", "rep_text", "s1", "s2"), "id")
+    texts = rows.filter("doc_id IS NOT NULL").join(wanted.select(F.col("rep").alias("doc_id"), F.col("rep_text").alias("text_hash"), "id", "s1", "s2"), ["doc_id", "text_hash"])
     sets = scratch.table(
         texts.select("id", "s1", "s2", "text").mapInArrow(_sets(shingle), "id bigint, shingles array<bigint>").dropDuplicates(["id"]), "sets"
     )
@@ -114,12 +118,9 @@ def near_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     named = sketch.select("id", "rep", *by_set).join(component.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     per_set = scratch.table(named.join(smallest, "component").select(*by_set, "component_id"), "sets-named")
-    out = sketches.join(per_set, by_set, "left").select(
-        "doc_id",
-        "text_hash",
-        "n_shingles",
-        F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    # Texts without shingles would all meet at one key: they need no join.
+    none = sketches.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"))
+    out = full.join(per_set, by_set).select("doc_id", "text_hash", "n_shingles", "component_id").unionByName(none)
     result = scratch.table(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "result")
     scratch.drop("sketches", "reps", "shared", "labelled", "split", "likely", "sets", "star-links", "block-links", "sets-named")
     return result
@@ -129,7 +130,7 @@ def shingles_of(t: Texts, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     """Distinct shingle hashes of each text of a slice: their row, value, and the count per row."""
     buf = LOWER[t.buf]
     w = words(t)
-    h = span_hash(prefix_hash(buf, 5), w.start, w.end)
+    h = word_hash(buf, w)
     grams = window_hash(h, shingle)
     ok = w.doc[: len(grams)] == w.doc[shingle - 1 :] if len(grams) else np.zeros(0, bool)
     docs, values = w.doc[: len(grams)][ok], grams[ok]

@@ -7,8 +7,9 @@ the reference of its ``lang`` by Jensen-Shannon distance (the square root of
 the divergence, base 2, from 0 to 1): the character classes, the common words
 with one bin for all other words, and the common words alone. A language's
 limits are the upper fences of the distances of all its texts, in bands of
-length, as short texts lie further off. Short texts, whose histograms say
-little, and languages with little text are not judged.
+length, as short texts lie further off. Texts of no language, or of one with
+little text, are held against the sum of all references and share its limits.
+Short texts, whose histograms say little, are not judged.
 """
 
 from __future__ import annotations
@@ -21,19 +22,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
-from .textkernel import LOWER, int64, prefix_hash, slices, span_hash, window_hash, words
+from .textkernel import LOWER, Texts, Words, codes_of, slices, words
 
 #: Frequent function words of four languages.
 COMMON_WORDS = (
     "the of and to in is that it for with as on be was by at this from or an are not have he his which but they "
     "le la les de des du et en un une que qui dans pour par sur est avec ou au ce il se ne pas plus "
-    "der die das und zu von den mit ist nicht ein eine im auf dem sich des es als auch "
-    "el los las y del que una por con para su lo como al más o pero sus"
+    "der die das und zu von den mit ist nicht ein eine im auf dem sich es als auch "
+    "el los las y del por con para su lo como al más o pero sus"
 ).split()
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-#: Distances above these reject in any language; texts under JUDGED_WORDS words, and languages under JUDGED_TEXTS texts, are not judged.
+#: Distances above these reject in any language; texts under JUDGED_WORDS words are not judged, languages under JUDGED_TEXTS texts have no reference.
 MAX_CHAR_DISTANCE = 0.32
 MAX_WORD_DISTANCE = 0.65
 JUDGED_WORDS = 50
@@ -62,9 +63,11 @@ def quality_scores(
     function_distance, kept``, one row per input row (repeated rows repeat).
     Null and empty texts have no words and fail the base rules. A distance
     above the fence of its language and length, or above
-    ``max_char_distance`` or ``max_word_distance``, rejects. A distance is
-    null where it is not judged: for a null or rare ``lang``, or a text of
-    under ``judged_words`` words. Other columns are ignored; an empty table
+    ``max_char_distance`` or ``max_word_distance``, rejects. A null ``lang``,
+    and one of fewer than ``judged_texts`` passing texts, is judged by the
+    reference of the whole corpus. A distance is null where it is not judged:
+    for a text of under ``judged_words`` words, or where no text passes the
+    base rules. Other columns are ignored; an empty table
     gives an empty table.
     """
     scratch = Scratch(docs.sparkSession, "quality")
@@ -73,29 +76,29 @@ def quality_scores(
     measured = scratch.table(rows.mapInArrow(_measure, schema), "measured")
     measured = measured.withColumn("base_failed", base_failed())
 
-    good = measured.filter("NOT base_failed AND lang IS NOT NULL")
+    good = measured.filter("NOT base_failed")
     sums = [F.sum(F.get("chars", F.lit(i))).alias(f"c{i}") for i in range(N_CLASSES)]
     sums += [F.sum(F.get("common", F.lit(i))).alias(f"w{i}") for i in range(len(COMMON_WORDS) + 1)]
-    reference = good.groupBy("lang").agg(F.count(F.lit(1)).alias("texts"), *sums).filter(F.col("texts") >= judged_texts)
-    reference = reference.select(
-        "lang",
-        F.array(*[F.col(f"c{i}") for i in range(N_CLASSES)]).alias("ref_chars"),
-        F.array(*[F.col(f"w{i}") for i in range(len(COMMON_WORDS) + 1)]).alias("ref_common"),
-    )
+    histograms = [F.array(*[F.col(f"{k}{i}") for i in range(n)]) for k, n in (("c", N_CLASSES), ("w", len(COMMON_WORDS) + 1))]
+    by_lang = scratch.table(good.groupBy("lang").agg(F.count(F.lit(1)).alias("texts"), *sums), "by-lang")
     # A table of its own, small or not: the join on a frequent language can be split.
-    reference = scratch.table(reference, "reference")
-    scored = measured.join(reference, "lang", "left").mapInArrow(
-        _score(judged_words),
-        "doc_id bigint, lang string, text_hash bigint, " + ", ".join(f"{c} bigint" for c in _COLUMNS) + ", base_failed boolean, " + ", ".join(f"{c} double" for c in _DISTANCES),
+    large = by_lang.filter((F.col("texts") >= judged_texts) & F.col("lang").isNotNull())
+    reference = scratch.table(large.select(F.col("lang").alias("judged_by"), histograms[0].alias("ref_chars"), histograms[1].alias("ref_common")), "reference")
+    every = by_lang.agg(*[F.sum(c).alias(c) for c in by_lang.columns[2:]]).select(*histograms).first()
+    whole = [np.array([x or 0 for x in h], np.float64)[None] for h in every]  # one histogram of each kind
+    scored = measured.join(reference, F.col("lang") == F.col("judged_by"), "left").mapInArrow(
+        _score(judged_words, whole),
+        "doc_id bigint, lang string, judged_by string, text_hash bigint, " + ", ".join(f"{c} bigint" for c in _COLUMNS) + ", base_failed boolean, " + ", ".join(f"{c} double" for c in _DISTANCES),
     )
     scored = scratch.table(scored, "scored")
-    scratch.drop("measured", "reference")
+    scratch.drop("measured", "reference", "by-lang")
 
     limits = scratch.table(_fences(scored.filter("NOT base_failed AND char_distance IS NOT NULL"), judged_texts), "limits")
-    limited = scored.join(limits, "lang", "left").withColumn("limit", F.array_max(F.filter("limits", lambda x: x["band"] <= _band())))
+    limits = limits.withColumnRenamed("judged_by", "limits_of")
+    limited = scored.join(limits, F.col("judged_by").eqNullSafe(F.col("limits_of")), "left").withColumn("limit", F.array_max(F.filter("limits", lambda x: x["band"] <= _band())))
     ceilings = {"char_distance": max_char_distance, "word_distance": max_word_distance, "function_distance": 1.0}
     far = [F.coalesce(F.col(c) > F.least(F.lit(ceilings[c]), F.col(f"limit.{c}")), F.lit(False)) for c in _DISTANCES]
-    return limited.withColumn("kept", ~(F.col("base_failed") | far[0] | far[1] | far[2])).drop("limits", "limit")
+    return limited.withColumn("kept", ~(F.col("base_failed") | far[0] | far[1] | far[2])).drop("limits", "limit", "limits_of", "judged_by")
 
 
 def _band() -> Column:
@@ -104,7 +107,7 @@ def _band() -> Column:
 
 
 def _fences(judged: DataFrame, least: int) -> DataFrame:
-    """``(lang, limits)``: the fences of each length band with ``least`` texts, and of all lengths as band -1.
+    """``(judged_by, limits)``: the fences of each length band with ``least`` texts, and of all lengths as band -1.
 
     A text takes the last band that is not above its own. The quartiles are
     exact to a thousandth, so their state is bounded whatever the rows.
@@ -115,10 +118,10 @@ def _fences(judged: DataFrame, least: int) -> DataFrame:
         return (F.get(q, F.lit(1)) + F.greatest(FENCE * (F.get(q, F.lit(1)) - F.get(q, F.lit(0))), F.lit(LEAST_MARGIN))).alias(name)
 
     def of(band: Column) -> DataFrame:
-        return judged.groupBy("lang", band.alias("band")).agg(F.count(F.lit(1)).alias("texts"), *[fence(c) for c in _DISTANCES])
+        return judged.groupBy("judged_by", band.alias("band")).agg(F.count(F.lit(1)).alias("texts"), *[fence(c) for c in _DISTANCES])
 
     both = of(_band()).unionByName(of(F.lit(-1))).filter(F.col("texts") >= least)
-    return both.groupBy("lang").agg(F.collect_list(F.struct("band", *_DISTANCES)).alias("limits"))
+    return both.groupBy("judged_by").agg(F.collect_list(F.struct("band", *_DISTANCES)).alias("limits"))
 
 
 def base_failed() -> Column:
@@ -150,14 +153,18 @@ def _distances(chars: np.ndarray, common: np.ndarray, ref_chars: np.ndarray, ref
     return [js_distance(chars, ref_chars), js_distance(common, ref_common), np.where(none, 1.0, function)]
 
 
-def _score(judged_words: int):
+def _score(judged_words: int, whole: list[np.ndarray]):
+    """Distances of each row; a row without a reference is held against the histograms ``whole``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain = ["doc_id", "lang", "text_hash", *_COLUMNS, "base_failed"]
+        plain = ["doc_id", "lang", "judged_by", "text_hash", *_COLUMNS, "base_failed"]
         for batch in batches:
             get = lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: B023, E731
             short = get("n_words").to_numpy() < judged_words
             chars, ref_chars = (_dense(get(c), N_CLASSES) for c in ("chars", "ref_chars"))
             common, ref_common = (_dense(get(c), len(COMMON_WORDS) + 1) for c in ("common", "ref_common"))
+            none = get("judged_by").is_null().to_numpy(zero_copy_only=False)
+            ref_chars[none], ref_common[none] = whole
             out = [get(c) for c in plain]
             for d in _distances(chars, common, ref_chars, ref_common):
                 out.append(pa.array(d, pa.float64(), mask=short | np.isnan(d)))
@@ -187,8 +194,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     symbol = np.zeros(256, np.int64)
     symbol[list(SYMBOLS)] = 1
     classes = _char_classes()
-    vocabulary = np.array([_hash_of(w.encode()) for w in COMMON_WORDS], np.uint64)
-    order = np.argsort(vocabulary)
+    vocabulary = {w.encode(): i for i, w in enumerate(COMMON_WORDS)}
     for batch in batches:
         for t in slices(batch.column(3)):
             w = words(t)
@@ -200,12 +206,10 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n_symbols = np.bincount(row, symbol[t.buf], t.n).astype(np.int64)
             chars = np.bincount(row * (N_CLASSES + 1) + classes[t.buf], minlength=t.n * (N_CLASSES + 1)).reshape(t.n, -1)[:, :N_CLASSES]
 
-            prefix = prefix_hash(t.buf, 3)
-            h = span_hash(prefix, w.start, w.end)
-            small = span_hash(prefix_hash(LOWER[t.buf], 7), w.start, _bare_end(t.buf, w.start, w.end))
-            at = np.minimum(np.searchsorted(vocabulary[order], small), len(order) - 1)
-            bin_of = np.where(vocabulary[order][at] == small, order[at], len(order))
-            common = np.bincount(w.doc * (len(order) + 1) + bin_of, minlength=t.n * (len(order) + 1)).reshape(t.n, -1)
+            codes, distinct = codes_of(t.buf, w.start, w.end)
+            bin_of = np.array([vocabulary.get(_bare(x), len(vocabulary)) for x in distinct.to_pylist()], np.int64)[codes]
+            bins = len(vocabulary) + 1
+            common = np.bincount(w.doc * bins + bin_of, minlength=t.n * bins).reshape(t.n, -1)
 
             columns = [
                 batch.column(0).slice(t.first, t.n),
@@ -214,23 +218,17 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(w.per_doc.astype(np.int64)),
                 pa.array(word_chars),
                 pa.array(n_symbols),
-                pa.array(_dup_lines(t, prefix, w)),
-                pa.array(_repeat_words(h, w.doc, t.n)),
+                pa.array(_dup_lines(t, w)),
+                pa.array(_repeat_words(codes, w.doc, t.n)),
                 _rows(chars),
                 _rows(common),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", "text_hash", *_COLUMNS, "chars", "common"])
 
 
-def _hash_of(word: bytes) -> np.uint64:
-    buf = np.frombuffer(word, np.uint8)
-    return span_hash(prefix_hash(buf, 7), np.array([0]), np.array([len(buf)]))[0]
-
-
-def _bare_end(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The word's end without one closing mark."""
-    mark = np.isin(buf[end - 1], np.frombuffer(b".,;:!?", np.uint8)) if len(end) else np.zeros(0, bool)
-    return np.where(mark & (end - start > 1), end - 1, end)
+def _bare(word: bytes) -> bytes:
+    """The word in lower case, without one closing mark."""
+    return word[: -1 if len(word) > 1 and word[-1:] in b".,;:!?" else None].translate(LOWER.tobytes())
 
 
 def _rows(m: np.ndarray) -> pa.Array:
@@ -250,7 +248,7 @@ def _again(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return before, any_other
 
 
-def _dup_lines(t, prefix, w) -> np.ndarray:
+def _dup_lines(t: Texts, w: Words) -> np.ndarray:
     newline = np.flatnonzero(t.buf == 10)
     start = np.union1d(t.off[:-1], newline + 1)
     doc = np.searchsorted(t.off, start, side="right") - 1
@@ -260,15 +258,19 @@ def _dup_lines(t, prefix, w) -> np.ndarray:
     end = np.where((stop > start) & (t.buf[stop - 1] == 10), stop - 1, stop)
     has_word = np.searchsorted(w.start, end) > np.searchsorted(w.start, start)
     start, end, doc = start[has_word], end[has_word], doc[has_word]
-    before, _ = _again(span_hash(prefix, start, end), doc)
+    before, _ = _again(codes_of(t.buf, start, end)[0], doc)
     return np.bincount(doc[before], minlength=t.n).astype(np.int64)
 
 
-def _repeat_words(h: np.ndarray, doc: np.ndarray, n: int, width: int = 5) -> np.ndarray:
-    grams = window_hash(h, width)
-    at = np.flatnonzero(doc[: len(grams)] == doc[width - 1 :]) if len(grams) else np.zeros(0, np.int64)
-    _, twice = _again(grams[at], doc[at])
-    delta = np.zeros(len(h) + 1, np.int64)
+def _repeat_words(codes: np.ndarray, doc: np.ndarray, n: int, width: int = 5) -> np.ndarray:
+    """Words in runs of ``width`` words that their text holds twice; a run's code is that of its first words and its last."""
+    runs, words_left = codes, codes
+    for _ in range(width - 1):
+        words_left = words_left[1:]
+        _, runs = np.unique(runs[: len(words_left)] * (codes.max(initial=0) + 1) + words_left, return_inverse=True)
+    at = np.flatnonzero(doc[: len(runs)] == doc[width - 1 :]) if len(runs) else np.zeros(0, np.int64)
+    _, twice = _again(runs[at], doc[at])
+    delta = np.zeros(len(codes) + 1, np.int64)
     np.add.at(delta, at[twice], 1)
     np.add.at(delta, at[twice] + width, -1)
     return np.bincount(doc, np.cumsum(delta)[:-1] > 0, n).astype(np.int64)

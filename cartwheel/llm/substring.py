@@ -1,4 +1,4 @@
-"""Exact substring deduplication by distributed prefix doubling over sampled positions.
+"""Substring deduplication by fingerprints of growing length at content-sampled positions.
 
 Every byte that lies in a string of ``length`` bytes (200 by default) which
 also starts anywhere else is removed. A suffix array over all positions would
@@ -7,8 +7,8 @@ a match: each ``length``-byte window names the position of its smallest hashed
 ``GRAM``-byte gram (the leftmost of equals) its *anchor*. Equal windows have
 equal anchors at equal offsets, and one anchor stands for about 80 windows.
 
-Ranks then double over anchor positions, Spark sorting and grouping the
-position-rank pairs of each round. A round looks at sets of windows and ranks
+This stands in place of prefix doubling: no ranks are paired. Spark groups
+the fingerprints of three rounds. A round looks at sets of windows and takes
 two strings of each: its *core*, which all its windows share, and its *hull*,
 which they fill.
 
@@ -20,8 +20,8 @@ which they fill.
   offsets of it (185 bytes), then single windows (200 bytes), where a rank
   seen twice is a repeat.
 
-Ranks are 64-bit fingerprints of the bytes, so a rank needs no lookup of the
-ranks one offset further: the pair is hashed where the text is.
+A fingerprint is a polynomial modulo 2**61 - 1 of the bytes. A verdict always
+rests on two of them: those of core and hull, or two of a window.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
-from .textkernel import int64, prefix_hash, slices, span_hash
+from .textkernel import int64, prefix_hash, rolling_hash, rolling_prefix, slices, span_hash
 
 LENGTH = 200
 GRAM = 32
@@ -77,11 +77,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     scratch.drop("steps")
 
     windows = scratch.table(
-        _with_text(rows, open_sets).mapInArrow(_windows(length), "doc_id bigint, h bigint, s array<int>, rank array<bigint>"), "windows"
+        _with_text(rows, open_sets).mapInArrow(_windows(length), "doc_id bigint, h bigint, s array<int>, rank array<bigint>, other array<bigint>"), "windows"
     )
-    flat = windows.select("doc_id", "h", F.inline(F.arrays_zip("s", "rank")))
-    twice = scratch.table(flat.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "twice")
-    single = flat.join(twice, "rank").select("doc_id", "h", F.col("s").alias("lo"), (F.col("s") + 1).alias("hi"))
+    flat = windows.select("doc_id", "h", F.inline(F.arrays_zip("s", "rank", "other")))
+    twice = scratch.table(flat.groupBy("rank", "other").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "twice")
+    single = flat.join(twice, ["rank", "other"]).select("doc_id", "h", F.col("s").alias("lo"), (F.col("s") + 1).alias("hi"))
 
     covered = scratch.table(
         whole.unionByName(more).unionByName(single).groupBy("doc_id", "h").agg(F.collect_set(F.struct("lo", "hi")).alias("runs")), "covered"
@@ -147,7 +147,7 @@ def _anchors(length: int, gram: int):
                 if size >= length:
                     prefix = prefix_hash(t.buf)
                     at = np.arange(size - gram + 1)
-                    grams = span_hash(prefix, at, at + gram)
+                    grams = rolling_hash(rolling_prefix(t.buf), at, at + gram)
                     bits = np.uint64(max(1, int(size).bit_length()))
                     keys = ((grams >> bits) << bits) | at.astype(np.uint64)
                     low = _smallest(keys, length - gram + 1)
@@ -166,7 +166,7 @@ def _anchors(length: int, gram: int):
                     row = np.searchsorted(t.off, lo, side="right") - 1
                     counts = np.bincount(row, minlength=t.n)
                     base = t.off[row]
-                    parts = [a - base, lo - base, hi - base, int64(grams[a]), int64(stretch)]
+                    parts = [a - base, lo - base, hi - base, int64(span_hash(prefix, a, a + gram)), int64(stretch)]
                 yield pa.RecordBatch.from_arrays([doc.slice(t.first, t.n), h.slice(t.first, t.n), _nested(counts, parts)], ["doc_id", "h", "sets"])
 
     return run
@@ -222,7 +222,7 @@ def _windows(length: int):
                     starts.append(own + t.off[i])
                     offsets.append(offsets[-1] + len(own))
                 s = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-                rank = span_hash(prefix, s, s + length)
+                rank, other = (span_hash(p, s, s + length, k) for k, p in enumerate((prefix, prefix_hash(t.buf, 1))))
                 local = s - np.repeat(t.off[:-1], np.diff(offsets))
                 cuts = pa.array(offsets, pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -231,8 +231,9 @@ def _windows(length: int):
                         batch.column(1).slice(t.first, t.n),
                         pa.ListArray.from_arrays(cuts, pa.array(local, pa.int32())),
                         pa.ListArray.from_arrays(cuts, pa.array(int64(rank))),
+                        pa.ListArray.from_arrays(cuts, pa.array(int64(other))),
                     ],
-                    ["doc_id", "h", "s", "rank"],
+                    ["doc_id", "h", "s", "rank", "other"],
                 )
 
     return run
