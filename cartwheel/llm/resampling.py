@@ -28,10 +28,10 @@ from .textkernel import LOWER, Texts, slices, words
 BUCKETS = 10_000
 WIDTH = 3
 #: Matrices of at most this many bytes are worked on at a time.
-MATRIX_BYTES = 8 << 20
+MATRIX_BYTES = 1 << 20
 #: Features over this many bytes are hashed one by one: a matrix of a few rows would cost a step for each byte.
 LONG = 4096
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: Bytes that are no part of a word, after lower-casing.
 GAP = np.ones(256, dtype=bool)
