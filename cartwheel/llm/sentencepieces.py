@@ -9,8 +9,9 @@ that are no piece are written as bytes.
 Merges never cross two kinds of places, so texts are cut there and a Python
 worker remembers the ids of the chunks: a character that is part of no longer
 piece stands alone, and where no piece holds the space mark after another
-character, a space mark begins a chunk. Every Arrow batch is checked against
-the ``sentencepiece`` library, ids and decoded texts both.
+character, a space mark begins a chunk. In every Arrow batch the chunks that are new to
+the worker are checked against the ``sentencepiece`` library, ids and decoded
+text both; whole texts can be.
 """
 
 from __future__ import annotations
@@ -37,16 +38,19 @@ ROWS = 256
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 
-def encode_documents(docs: DataFrame, model: str, check: bool = True) -> DataFrame:
+def encode_documents(docs: DataFrame, model: str, check: str = "chunks") -> DataFrame:
     """Ids of every whole text of ``docs(doc_id, text)``, and the text that they decode to.
 
     Returns, for each input row, ``doc_id, ids array<int>, decoded string``,
     without begin or end ids. ``model`` is the path of a BPE model file,
-    readable on the executors. With ``check`` every batch's ids and decoded
-    texts are compared with the library's, and a difference raises. Null text
+    readable on the executors. With ``check`` ``"chunks"`` every chunk is
+    compared with the library when a worker first meets it, with ``"texts"``
+    every whole text, with ``"none"`` nothing; a difference raises. Null text
     is empty and has no ids; repeated rows repeat; other columns are ignored;
     an empty table gives an empty table.
     """
+    if check not in ("chunks", "texts", "none"):
+        raise ValueError("check must be 'chunks', 'texts' or 'none'")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(_encode(model, check), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")
 
@@ -74,16 +78,16 @@ def _vocabulary(path: str) -> Vocabulary:
     return state[key]
 
 
-def _encode(path: str, check: bool):
+def _encode(path: str, check: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(path)
-        library = _library(path) if check else None
+        library = _library(path) if check != "none" else None
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 texts = batch.column(1).slice(lo, ROWS).to_pylist()
-                ids = vocabulary.encode(texts)
+                ids = vocabulary.encode(texts, library if check == "chunks" else None)
                 decoded = [vocabulary.decode(x) for x in ids]
-                if library is not None and (library.encode(texts, num_threads=1) != ids or library.decode(ids, num_threads=1) != decoded):
+                if check == "texts" and (library.encode(texts, num_threads=1) != ids or library.decode(ids, num_threads=1) != decoded):
                     raise ValueError("the ids differ from the sentencepiece library's")
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
                 flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
@@ -155,15 +159,25 @@ class Vocabulary:
         inner = any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in self.score)
         group = f"[{re.escape(joining)}{SPACE_MARK if inner else ''}]"
         self.chunk = re.compile(rf"{SPACE_MARK}*{group}+|{SPACE_MARK}+|(?s:.)" if joining else r"(?s:.)")
+        #: A character that is part of no longer piece.
+        self.stop = next(c for c in map(chr, chain([10, 0], range(0xE000, 0xF8FF))) if c not in joining)
         self.new: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text; chunks seen before come from memory, half of which goes when it is full."""
+    def encode(self, texts: list[str], library=None) -> list[list[int]]:
+        """Ids of each text; chunks seen before come from memory, half of which goes when it is full.
+
+        With ``library`` the chunks that are not in memory are checked.
+        """
         cut = [self.chunk.findall(self.prefix + t.replace(" ", SPACE_MARK)) if t else [] for t in texts]
-        known, out = self.new, []
+        known, out, learned = self.new, [], []
         for c in set().union(*cut) - known.keys():
-            known[c] = self.old.get(c) or tuple(self.agenda(c))
+            known[c] = self.old.get(c)
+            if known[c] is None:
+                known[c] = tuple(self.agenda(c))
+                learned.append(c)
+        if library is not None and learned:
+            self.verify(learned, library)
         for chunks in cut:
             out.append(list(chain.from_iterable(map(known.__getitem__, chunks))))
         for c in [c for c in known if len(c) > CACHE_LENGTH]:
@@ -172,6 +186,16 @@ class Vocabulary:
             self.old, self.new = known, {}
         return out
 
+    def verify(self, chunks: list[str], library) -> None:
+        """Compare the ids of chunks, parted by a character that merges with nothing, with the library's."""
+        text = self.stop + self.stop.join(chunks).replace(SPACE_MARK, " ")
+        stop = tuple(self.agenda(self.stop))
+        ids = self.agenda(self.prefix) if self.prefix else []
+        for c in chunks:
+            ids += stop + self.new[c]
+        if library.encode(text) != ids or library.decode(ids) != self.decode(ids):
+            raise ValueError("the ids differ from the sentencepiece library's")
+
     def agenda(self, chunk: str) -> list[int]:
         """Merge the best adjacent pair until none is a piece; the ids of what is left."""
         symbols = list(chunk)
