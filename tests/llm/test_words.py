@@ -189,7 +189,7 @@ def test_op13_agenda_equals_the_library(library):
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
     texts += ["".join(chr(rng.choice([rng.randrange(32, 0x3000), rng.randrange(0x4E00, 0x9FFF), rng.randrange(0x1F300, 0x1F700)])) for _ in range(40)) for _ in range(500)]
     texts += ["abcdefgh" * 3000, "x" * 5000, " " * 5000]
-    ids = vocabulary.encode(texts)
+    ids = vocabulary.encode(texts, processor)  # chunks are checked as they are met
     assert ids == processor.encode(texts) and [vocabulary.decode(x) for x in ids] == processor.decode(ids)
     assert vocabulary.encode(texts) == ids  # from memory
     wild = [[rng.randrange(600) for _ in range(rng.randint(0, 12))] for _ in range(3000)]
@@ -211,6 +211,9 @@ def test_op13_matches_the_library(spark, library, tmp_path):
         want.append((d, len(ids), sha(",".join(map(str, ids))), sha(processor.decode(ids))))
     got = QUERIES["op13_sentencepiece"](spark, str(tmp_path)).collect()
     assert sorted(map(tuple, got)) == sorted(want)
+    from cartwheel.llm.sentencepieces import encode_documents
+
+    assert encode_documents(docs, path, check="texts").count() == len(texts)
 
 
 def test_op13_decodes_lists_and_refuses_other_models(spark, library):
@@ -223,3 +226,7 @@ def test_op13_decodes_lists_and_refuses_other_models(spark, library):
         model = f.read()
     with pytest.raises(ValueError, match="BPE model"):
         Vocabulary(model[:200])
+    broken = Vocabulary(model)
+    broken.merges = {k: ((1 << 20) - (m >> 20)) << 20 | m & 0xFFFFF for k, m in broken.merges.items()}  # the worst pair first
+    with pytest.raises(ValueError, match="differ"):
+        broken.encode(["several words that merge in more than one way"], processor)
