@@ -1,10 +1,11 @@
-"""Sequence packing: best fit, then a swap-based local search that empties bins.
+"""Sequence packing: a swap-based local search that empties bins.
 
 Documents become token ids plus an end id; longer ones are cut into full
 sequences with the remainder first, so at most one piece of a document is
 short. Short pieces are dealt into groups of bounded size, each packed by one
-task: best fit in falling order of length, then local search. A second round
-does the same for the pieces of all bins that stayed underfull.
+task, which starts with a bin for every piece and empties bins by moves. The
+pieces of all bins that stayed underfull meet in new groups, and there the
+search moves and swaps until it finds no step.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,15 +64,15 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     pieces = scratch.table(pieces, "pieces")
     short = pieces.filter(F.col("length") < capacity).select("uid", "length")
 
-    def packed(rows: DataFrame, n: int, salt: int) -> DataFrame:
+    def packed(rows: DataFrame, n: int, salt: int, swaps: bool) -> DataFrame:
         groups = max(1, -(-n // group))
         dealt = rows.withColumn("g", F.pmod(F.xxhash64("uid", F.lit(salt)), F.lit(groups)))
-        return dealt.groupBy("g").applyInPandas(_pack_group(capacity), "uid bigint, length bigint, bin bigint, offset bigint, fill bigint, g bigint")
+        return dealt.groupBy("g").applyInPandas(_pack_group(capacity, swaps), "uid bigint, length bigint, bin bigint, offset bigint, fill bigint, g bigint")
 
-    first = scratch.table(packed(short, short.count(), 1), "first")
+    first = scratch.table(packed(short, short.count(), 1, False), "first")
     # Bins that kept room meet the others' in new groups.
     loose = first.filter(F.col("fill") < capacity - capacity // 64).select("uid", "length")
-    second = packed(loose, loose.count(), 2)
+    second = packed(loose, loose.count(), 2, True)
     done = first.filter(F.col("fill") >= capacity - capacity // 64).withColumn("round", F.lit(1)).unionByName(second.withColumn("round", F.lit(2)))
     # Round in the two low bits, then the bin (below 2**20) and the group.
     number = F.shiftleft(F.shiftleft("g", 20) + F.col("bin"), 2) + F.col("round")
@@ -177,11 +177,11 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
-def _pack_group(capacity: int):
+def _pack_group(capacity: int, swaps: bool):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "uid"], ascending=[False, True], kind="stable")
-        bins = improve(best_fit(rows["length"].to_numpy(), capacity), rows["length"].tolist(), capacity)
+        rows = rows.sort_values("uid")
         lengths = rows["length"].to_numpy()
+        bins = improve([[i] for i in range(len(lengths))], lengths.tolist(), capacity, swaps)
         order = np.array([i for b in bins for i in b], dtype=np.int64)
         number = np.repeat(np.arange(len(bins)), [len(b) for b in bins])
         picked = lengths[order]
@@ -195,103 +195,135 @@ def _pack_group(capacity: int):
     return run
 
 
-def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Best fit over ``lengths`` as given (falling): bins as lists of indices."""
-    bins: list[list[int]] = []
-    by_room: list[list[int]] = [[] for _ in range(capacity + 1)]
-    rooms: list[int] = []  # ascending, those with bins
-    for i, n in enumerate(lengths.tolist()):
-        at = bisect_left(rooms, n)
-        if at < len(rooms):
-            room = rooms[at]
-            b = by_room[room].pop()
-            if not by_room[room]:
-                del rooms[at]
-        else:
-            room, b = capacity, len(bins)
-            bins.append([])
-        bins[b].append(i)
-        left = room - n
-        if not by_room[left]:
-            insort(rooms, left)
-        by_room[left].append(b)
-    return bins
-
-
-def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
-    """Local search: empty the least filled bins by moves and by one-for-one and two-for-one swaps.
-
-    A step takes a piece out of the least filled bin into an underfull bin
-    that can hold it, or swaps it (or two of its pieces) for one smaller piece
-    of a fuller bin. Every step raises the sum of squared fills, so the search
-    ends: when a bin neither empties nor takes part in a raising step, it is
-    left and the next one is tried.
+class _Open:
+    """The underfull bins, found by their room and the lengths that they hold."""
+
+    def __init__(self, capacity: int):
+        self.rooms = np.zeros(capacity + 1, np.int32)  # bins of each room
+        self.holds = np.zeros((capacity + 1, capacity + 1), np.int32)  # bins with a piece of each length, of each room
+        self.most = np.full(capacity + 1, -1, np.int64)  # the most room beside a piece of each length
+        self.of_room: dict[int, dict[int, None]] = {}
+        self.of_both: dict[tuple[int, int], dict[int, None]] = {}
+
+    def add(self, b: int, room: int, lengths: set[int]) -> None:
+        self.rooms[room] += 1
+        self.of_room.setdefault(room, {})[b] = None
+        for n in lengths:
+            self.holds[n, room] += 1
+            self.of_both.setdefault((room, n), {})[b] = None
+            self.most[n] = max(self.most[n], room)
+
+    def remove(self, b: int, room: int, lengths: set[int]) -> None:
+        self.rooms[room] -= 1
+        del self.of_room[room][b]
+        for n in lengths:
+            self.holds[n, room] -= 1
+            del self.of_both[room, n][b]
+            if self.most[n] == room and not self.holds[n, room]:
+                left = np.flatnonzero(self.holds[n])
+                self.most[n] = left[-1] if len(left) else -1
+
+
+def improve(bins: list[list[int]], lengths: list[int], capacity: int, swaps: bool = True) -> list[list[int]]:
+    """Local search: empty bins by moves and by one-for-one and two-for-one swaps.
+
+    First every bin, the fullest first, moves its pieces while there is room
+    for them in fuller bins; then the least filled ones swap, too. A step moves a piece of a bin into one that is at least as full and can
+    hold it, or swaps it (or two pieces of the bin) for one smaller piece of
+    such a bin. All rooms and lengths are looked up: swaps that fill the other
+    bin to the brim come first, and a bin is passed over only if it has no
+    step at all. Every step raises the sum of squared fills, so the search
+    ends: when no bin has a step, or there are no more bins than all pieces
+    need. Without ``swaps`` it ends after the moves.
     """
     fill = [sum(lengths[i] for i in b) for b in bins]
-    open_bins = {b for b in range(len(bins)) if fill[b] < capacity}
-    by_room: dict[int, set[int]] = {}
-    for b in open_bins:
-        by_room.setdefault(capacity - fill[b], set()).add(b)
-
-    def put(b: int, old: int) -> None:
-        by_room[capacity - old].discard(b)
-        by_room.setdefault(capacity - fill[b], set()).add(b)
-
-    def target(n: int, but: int, least: int) -> int | None:
-        """The fullest bin with room ``n`` whose fill is ``least`` or more."""
-        for room in range(n, capacity - least + 1):
-            for b in by_room.get(room, ()):
-                if b != but:
-                    return b
-        return None
-
-    def swap(b: int, group: list[int]) -> bool:
-        """Pieces ``group`` of ``b`` for one smaller piece of a fuller bin, filling that bin best."""
-        n = sum(lengths[i] for i in group)
-        best = None
-        for room in sorted(r for r, s in by_room.items() if s and r <= capacity - fill[b])[:8]:
-            for c in list(by_room[room])[:8]:
-                if c == b or room == 0:
-                    continue
-                for j in bins[c]:
-                    gain = n - lengths[j]
-                    if 0 < gain <= room and (best is None or room - gain < best[0]):
-                        best = (room - gain, c, j)
-            if best and best[0] == 0:
-                break
-        if best is None:
-            return False
-        _, c, j = best
-        old_b, old_c = fill[b], fill[c]
-        for i in group:
+    least = -(-sum(fill) // capacity)
+    used = sum(1 for b in bins if b)
+    index = _Open(capacity)
+    kinds = lambda b: {lengths[i] for i in bins[b]}
+    for b in range(len(bins)):
+        if bins[b] and fill[b] < capacity:
+            index.add(b, capacity - fill[b], kinds(b))
+
+    def give(b: int, c: int, out: list[int], back: int | None) -> None:
+        """Pieces ``out`` of ``b`` to ``c``, piece ``back`` of ``c`` to ``b``; ``b`` is not in the index."""
+        index.remove(c, capacity - fill[c], kinds(c))
+        for i in out:
             bins[b].remove(i)
             bins[c].append(i)
-        bins[c].remove(j)
-        bins[b].append(j)
-        fill[b] += lengths[j] - n
-        fill[c] += n - lengths[j]
-        put(b, old_b)
-        put(c, old_c)
+        gain = sum(lengths[i] for i in out)
+        if back is not None:
+            bins[c].remove(back)
+            bins[b].append(back)
+            gain -= lengths[back]
+        fill[b] -= gain
+        fill[c] += gain
+        if fill[c] < capacity:
+            index.add(c, capacity - fill[c], kinds(c))
+
+    def swap(b: int, room: int, n: int, out: list[int]) -> None:
+        c = next(iter(index.of_both[room, n]))
+        give(b, c, out, next(i for i in bins[c] if lengths[i] == n))
+
+    every = np.arange(capacity + 1)
+
+    def step(b: int, swaps: bool = True) -> bool:
+        limit = capacity - fill[b]  # bins that are at least as full
+        rooms = np.flatnonzero(index.rooms[: limit + 1])
+        if not len(rooms):
+            return False
+        own = {lengths[i]: i for i in bins[b]}
+        moves = [(int(rooms[at]) - n, n) for n in own if (at := int(np.searchsorted(rooms, n))) < len(rooms)]
+        if moves:
+            left, n = min(moves, key=lambda m: (m[0], -m[1]))
+            give(b, next(iter(index.of_room[left + n])), [own[n]], None)
+            return True
+        if not swaps:
+            return False
+        groups = {n: [i] for n, i in own.items()}
+        for k, i in enumerate(bins[b]):
+            for j in bins[b][:k]:
+                groups.setdefault(lengths[i] + lengths[j], [i, j])
+        sums = np.array(list(groups))  # single pieces first
+        back = sums[:, None] - rooms[None, :]  # the piece that would fill a bin of that room
+        brim = np.flatnonzero(index.holds[np.clip(back, 0, capacity), rooms[None, :]] > 0)
+        if len(brim):
+            k, at = divmod(int(brim[0]), len(rooms))
+            swap(b, int(rooms[at]), int(back[k, at]), groups[int(sums[k])])
+            return True
+        # The roomiest bin beside each length tells whether there is any swap.
+        roomy = index.most.copy()
+        for n in np.flatnonzero(roomy > limit):
+            roomy[n] = np.flatnonzero(index.holds[n, : limit + 1])[-1:].sum()
+        left = roomy[None, :] + every[None, :] - sums[:, None]  # what the other bin would have left
+        able = (left >= 0) & (every[None, :] < sums[:, None]) & (roomy[None, :] > 0)
+        if not able.any():
+            return False
+        k, n = divmod(int(np.where(able, left, capacity + 1).argmin()), capacity + 1)
+        swap(b, int(roomy[n]), n, groups[int(sums[k])])
         return True
 
-    for b in sorted(open_bins, key=lambda x: fill[x]):
-        moved = True
-        while moved and bins[b]:
-            moved = False
-            for i in sorted(bins[b], key=lambda x: -lengths[x]):
-                c = target(lengths[i], b, fill[b])
-                if c is not None:
-                    old_b, old_c = fill[b], fill[c]
-                    bins[b].remove(i)
-                    bins[c].append(i)
-                    fill[b] -= lengths[i]
-                    fill[c] += lengths[i]
-                    put(b, old_b)
-                    put(c, old_c)
-                    moved = True
-                    break
-            if moved:
-                continue
-            own = sorted(bins[b], key=lambda x: lengths[x])
-            moved = any(swap(b, [i]) for i in own) or any(swap(b, [own[k], own[k + 1]]) for k in range(len(own) - 1))
+    def empty(b: int, swaps: bool) -> bool:
+        """All steps of one bin; whether there was one."""
+        nonlocal used
+        index.remove(b, capacity - fill[b], kinds(b))
+        going = False
+        while bins[b] and step(b, swaps):
+            going = True
+        if bins[b]:
+            index.add(b, capacity - fill[b], kinds(b))
+        else:
+            used -= 1
+        return going
+
+    underfull = lambda: sorted((b for b in range(len(bins)) if bins[b] and fill[b] < capacity), key=lambda b: fill[b])
+    for b in reversed(underfull()):
+        if fill[b] < capacity:
+            empty(b, swaps=False)
+    going = swaps
+    while going and used > least:
+        going = False
+        for b in underfull():
+            if fill[b] < capacity and used > least:
+                going |= empty(b, swaps=True)
     return [b for b in bins if b]
