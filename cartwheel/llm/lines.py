@@ -22,7 +22,7 @@ WORD = r"[^\x20\x09-\x0D]"
 KEY = ["d", "h"]
 
 
-def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = 50, min_docs: int = 50) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = 50, min_docs: int = 50, least_left: int = 0) -> DataFrame:
     """Delete later copies of repeated runs of lines from every text.
 
     A run counts when it has ``min_lines`` lines (a power of two), or is one
@@ -31,8 +31,9 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = 50
     without a word are no part of a run, but those inside a deleted run go
     with it. The first copy, in the order of ``doc_id`` (null first), text
     hash and line, stays. Returns the input's columns, in order, with the new
-    text, one row for each input row (a text may become empty). Null text
-    stays null, and rows that repeat both ``doc_id`` and text are one document
+    text, one row for each input row (a text may become empty); with
+    ``least_left``, texts that lose lines and keep fewer words are left out
+    with their row, others never. Null text stays null, and rows that repeat both ``doc_id`` and text are one document
     that is not a copy of itself: they come out alike. An empty table stays
     empty. Columns of any other name pass through.
     """
@@ -52,6 +53,8 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = 50
     joined = joined.withColumn("left", F.when(F.col("runs").isNotNull(), left))
     parts = F.split("row.text", "\n", -1)
     text = F.when(F.col("runs").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform("left", lambda i: F.get(parts, i)), "\n"))
+    if least_left:
+        joined = joined.filter(F.col("runs").isNull() | (F.regexp_count(text, F.lit(WORD + "+")) >= least_left))
     return joined.select(*[text.alias(c) if c == "text" else F.col(f"row.{_quoted(c)}").alias(c) for c in names])
 
 

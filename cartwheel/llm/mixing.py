@@ -125,10 +125,12 @@ def _fill(graph: list[list[int]], to: list[int], room: list[int], source: int, s
                 nxt[at] += 1
 
 
-def mix(docs: DataFrame, members: Column, weights: dict[str | None, float] | None = None, total: int | None = None, max_repeats: int = 3, seed: int = 7, size: Column | None = None) -> DataFrame:
+def mix(docs: DataFrame, members: Column, weights: dict[str | None, float] | None = None, total: int | None = None, max_repeats: int = 3, seed: int = 7, size: Column | None = None, tie: Column | None = None) -> DataFrame:
     """How often each row of ``docs(doc_id, text)`` is taken, for sources at target weights.
 
-    Without ``text``, give the rows' ``size``, a whole number that is never null.
+    Without ``text``, give the rows' ``size``, a whole number that is never
+    null, and ``tie``, which tells rows of one ``doc_id`` apart (default: the
+    text). The columns may have any names but ``mix``.
 
     ``members`` gives the array of sources that a row may be taken for; a null
     element is a source, a null array is the null source alone. Sizes are
@@ -143,9 +145,9 @@ def mix(docs: DataFrame, members: Column, weights: dict[str | None, float] | Non
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     spark = docs.sparkSession
-    boxed = docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row"), F.coalesce(members, F.array(F.lit(None).cast("string"))).alias("m"), *([] if size is None else [size.alias("size")]))
+    boxed = docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row"), F.coalesce(members, F.array(F.lit(None).cast("string"))).alias("m"), *([] if size is None else [size.alias("size")]), (tie if tie is not None else F.col("text") if "text" in docs.columns else F.lit(None).cast("string")).alias("tie"))
     own = F.array_sort(F.array_distinct("m"))
-    keyed = boxed.select("row", own.alias("m"), (word_count(F.col("row.text")) if size is None else F.col("size")).alias("size"), F.pmod(F.xxhash64("row.doc_id", *(["row.text"] if "text" in docs.columns else []), F.lit(seed)), F.lit(1 << 40)).alias("seeded"))
+    keyed = boxed.select("row", own.alias("m"), (word_count(F.col("row.text")) if size is None else F.col("size")).alias("size"), F.pmod(F.xxhash64("row.doc_id", "tie", F.lit(seed)), F.lit(1 << 40)).alias("seeded"))
     keyed = keyed.withColumn("pattern", F.to_json("m"))
     # Row ids live in a table, so that every later step sees the same ones.
     ids = keyed.withColumn("uid", F.monotonically_increasing_id())

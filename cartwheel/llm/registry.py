@@ -30,8 +30,8 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _read(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("words"))
-    mixed = mix(docs, F.array("source"), size=F.col("words"))
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("words"), F.xxhash64("text").alias("text_hash"))
+    mixed = mix(docs, F.array("source"), size=F.col("words"), tie=F.col("text_hash"))
     return mixed.select("doc_id", "source", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
