@@ -8,21 +8,25 @@ equal in ``doc_id`` and text are one document.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm.lines import drop_repeated_lines
 from cartwheel.llm.minhash import near_documents
-from cartwheel.llm.mixing import mix
+from cartwheel.llm.mixing import mix, word_count
 from cartwheel.llm.packing import pack
-from cartwheel.llm.quality import quality_scores
+from cartwheel.llm.quality import MIN_WORDS, quality_scores
 from cartwheel.llm.scratch import Scratch
 
 
+def _boxed(docs: DataFrame) -> Column:
+    """A whole row as one struct: columns of any name pass through a stage without meeting its own."""
+    return F.struct(*["`" + c.replace("`", "``") + "`" for c in docs.columns])
+
+
 def _with(docs: DataFrame, wanted: DataFrame, once: bool = False) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` and text are in ``wanted(doc_id, text_hash)``; ``once``: without repeats."""
-    names = docs.columns
-    boxed = docs.select(F.struct(*["`" + c.replace("`", "``") + "`" for c in names]).alias("row"), F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"))
+    boxed = docs.select(_boxed(docs).alias("row"), F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"))
     keys = wanted.select(F.col("doc_id").alias("wd"), F.col("text_hash").alias("wh")).distinct()
     rows = boxed.join(keys.hint("merge"), F.col("d").eqNullSafe(F.col("wd")) & (F.col("h") == F.col("wh")), "left_semi")
     if once:
@@ -36,8 +40,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, later copies of repeated runs of lines deleted from their texts."""
-    return drop_repeated_lines(docs)
+    """All documents, later copies of repeated runs of lines deleted from their texts.
+
+    A document that loses lines and keeps fewer words than the quality rules
+    ask for goes: what is left of it is a scrap. Unchanged documents stay.
+    """
+    return drop_repeated_lines(docs, least_left=MIN_WORDS)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +55,10 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    mixed = mix(docs, F.array("source"))
-    copies = mixed.filter("mix.copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("mix.copies").cast("int"))))
-    return copies.select(*["`" + c.replace("`", "``") + "`" for c in docs.columns])
+    rows = docs.select(_boxed(docs).alias("row"), "doc_id", F.array("source").alias("sources"), word_count(F.col("text")).alias("words"), F.xxhash64("text").alias("text_hash"))
+    mixed = mix(rows, F.col("sources"), size=F.col("words"), tie=F.col("text_hash")).filter("mix.copies > 0")
+    copies = mixed.select("row", F.explode(F.sequence(F.lit(1), F.col("mix.copies").cast("int"))).alias("nth"))
+    return copies.select("row.*")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
