@@ -18,14 +18,29 @@ from ..schema import DATE_FORMAT, MONEY, TIMESTAMP_FORMAT
 # The shape of TIMESTAMP_FORMAT.
 _STAMP = r"\A-?[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
 
+# A whole number written with a zero fraction.
+_ZERO_FRACTION = r"\A\s*[+-]?[0-9]+\.0*\s*\z"
+
 
 def _dtype(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
 def to_long(df: DataFrame, name: str) -> Column:
-    """64-bit integer; text with spaces around digits is accepted."""
-    return F.col(name).try_cast(T.LongType())
+    """64-bit integer; a value with a fraction is NULL, one whose fraction is zero is whole.
+
+    The rule is the same for text and for numbers, so ``5.0`` is 5 whether a
+    column was read as text or inferred as a double. Text may have spaces
+    around; other characters give NULL.
+    """
+    value = F.col(name)
+    dtype = _dtype(df, name)
+    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return F.when(value == F.floor(value), value.try_cast(T.LongType()))
+    if isinstance(dtype, T.StringType):
+        whole = F.when(value.rlike(_ZERO_FRACTION), F.split_part(value, F.lit("."), F.lit(1)).try_cast(T.LongType()))
+        return F.coalesce(value.try_cast(T.LongType()), whole)
+    return value.try_cast(T.LongType())
 
 
 def to_text(df: DataFrame, name: str) -> Column:

@@ -15,8 +15,8 @@ the same way, so its source is read once.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +28,13 @@ from ..operators.dedup import dedup_latest
 from ..operators.filters import keep_equal
 from ..operators.quality import gate_month, refuse_failures, report_columns, require_columns
 from ..schema import EXTRACT_CITY, EXTRACT_COLUMNS, GENERATOR_ROWS, GENERATOR_SEED, KEY_COLUMN, ORDER_COLUMNS, TABLE_COLUMNS, TEXT_BOUNDS
+from ..sinks.batches import KnownBatch, append_batch, create_batch_table
 from ..sinks.files import write_dataset, write_parquet_by_month
 from ..sinks.tables import append_table, create_table_if_missing, ctas_replace, publish_table, published_table
+from ..sinks.versions import Watch, columns_ddl
 from ..sources.files import read_raw_csv
 from ..sources.generate import generate_orders
+from .journal import Journal
 from .params import check_location, check_table_name
 from .reuse import kept, staged
 
@@ -57,6 +60,9 @@ def load_orders(
     target_table: str,
     key_check: bool = True,
     keep_staging: bool = False,
+    run_id: str | None = None,
+    on_known: str = "skip",
+    watch: Watch = lambda step: None,
 ) -> JobResult:
     """Conform, de-duplicate, gate, then append to ``target_table``.
 
@@ -72,9 +78,16 @@ def load_orders(
     key's bounds are observed during that write; the key check and the append
     read the staged copy. The staging database is dropped (files included) when
     the job ends, unless ``keep_staging``.
+
+    With ``run_id`` the run can be repeated: the target is a batch table, the
+    rows are the batch of that id (``on_known`` says what becomes of an id
+    that the table holds), and a run that was killed goes on from its last
+    finished step when it is called again. ``watch`` is told each step.
     """
     check_table_name(target_table)
     require_columns(source, ORDER_COLUMNS, "source")
+    if run_id is not None:
+        return _load_run(Journal(spark, f"load-{target_table}", run_id, watch), source, target_table, key_check, on_known)
     obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
     bounds = [F.min(KEY_COLUMN).alias("lo"), F.max(KEY_COLUMN).alias("hi")]
     observed = conform_orders(source).observe(obs, *report_columns(bounds=TEXT_BOUNDS), *bounds)
@@ -92,6 +105,43 @@ def load_orders(
         return JobResult("written", written, target_table, {"report": report})
 
 
+def _load_run(journal: Journal, source: DataFrame, target_table: str, key_check: bool, on_known: str) -> JobResult:
+    """W1 in steps: stage, gate, create, append, clean up."""
+    spark = journal.spark
+    if on_known == "replace" and journal.finished("append") is not None:
+        journal.forget()  # a finished run of this id: the new rows take its place
+    if on_known == "refuse" and journal.finished("append") is not None:
+        raise KnownBatch(f"run {journal.run_id} has loaded {target_table}; nothing was written")
+
+    def counted(rows: DataFrame) -> tuple[DataFrame, Callable[[], dict]]:
+        obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
+        bounds = [F.min(KEY_COLUMN).alias("lo"), F.max(KEY_COLUMN).alias("hi")]
+        return rows.observe(obs, *report_columns(bounds=TEXT_BOUNDS), *bounds), lambda: {"row_count": 0, **obs.get}
+
+    done = journal.finished("append")
+    if done is not None:
+        journal.close("stage")
+        return JobResult(done["status"], done["rows"], target_table, {"report": done["report"], "repeated": True})
+    batch, report = journal.stored("stage", lambda: conform_orders(source), counted)
+    lo, hi = report.pop("lo", None), report.pop("hi", None)
+    refuse_failures(report, target_table)
+    if report["row_count"] == 0:
+        journal.forget()
+        return JobResult("empty", 0, target_table, {"report": report})
+    journal.step("create", lambda: {"created": create_batch_table(spark, target_table)})
+
+    def append() -> dict:
+        known = {"null_keys": 0, "repeated_keys": 0, "lo": lo, "hi": hi}
+        key = KEY_COLUMN if key_check else None
+        how = "replace" if on_known == "replace" else "skip"
+        found = append_batch(batch, target_table, journal.run_id, how, key=key, known=known, watch=journal.watch)
+        return {"status": "written", "rows": found.rows, "batch": found.status, "report": report}
+
+    result = journal.step("append", append)
+    journal.close("stage")
+    return JobResult("written", result["rows"], target_table, {"report": report, "batch": result["batch"]})
+
+
 def city_rows(orders: DataFrame, city: str = EXTRACT_CITY, with_year: bool = False) -> DataFrame:
     """W2 transform: one city (exact case) with the update month appended.
 
@@ -113,6 +163,8 @@ def extract_city(
     with_year: bool = False,
     partition_overwrite: str = "static",
     schemes: Sequence[str] | None = None,
+    run_id: str | None = None,
+    watch: Watch = lambda step: None,
 ) -> JobResult:
     """One city's orders to Parquet partitioned by month (static overwrite).
 
@@ -127,11 +179,15 @@ def extract_city(
     ``updated_at``). ``partition_overwrite="dynamic"`` replaces only the
     months present in this run instead of the whole dataset. With ``schemes``
     (W4) the output location must start with one of them. A hot month is split
-    over several tasks only where adaptive execution is on.
+    over several tasks only where adaptive execution is on. With ``run_id`` a
+    run that was killed goes on from its last finished step when it is called
+    again with the same id; the rows are then staged whatever ``keep`` says.
     """
     if schemes is not None:
         check_location(output_path, schemes)
     rows = city_rows(orders, city, with_year)
+    if run_id is not None:
+        return _extract_run(Journal(spark, "extract", run_id, watch), rows, output_path, partition_overwrite)
     with kept(rows, keep) as city_orders:
         return _extract(city_orders, output_path, partition_overwrite)
 
@@ -144,6 +200,16 @@ def _extract(rows: DataFrame, output_path: str, partition_overwrite: str = "stat
     return JobResult("written", written, output_path, {"report": report})
 
 
+def _extract_run(journal: Journal, rows: DataFrame, output_path: str, partition_overwrite: str) -> JobResult:
+    """W2 in steps: stage, gate and write, clean up. A write that was cut off overwrites what it left."""
+    done = journal.finished("write")
+    if done is None:
+        staged_rows, _ = journal.stored("stage", lambda: rows, lambda df: (df, dict))
+        done = journal.step("write", lambda: asdict(_extract(staged_rows, output_path, partition_overwrite)))
+    journal.close("stage")
+    return JobResult(**done)
+
+
 def tidy_load(spark: SparkSession, source: DataFrame, target_table: str) -> JobResult:
     """W3 task 1: tidy the raw rows and append them to ``target_table``.
 
@@ -195,14 +261,27 @@ def refresh_city_revenue(
 
 
 def city_revenue_job(
-    spark: SparkSession, source: DataFrame, orders_table: str, view: str, incremental: bool = False
+    spark: SparkSession,
+    source: DataFrame,
+    orders_table: str,
+    view: str,
+    incremental: bool = False,
+    run_id: str | None = None,
+    on_known: str = "skip",
+    watch: Watch = lambda step: None,
 ) -> tuple[JobResult, JobResult]:
     """The tidy load, then the revenue table, which runs only if the load succeeded.
 
     With ``incremental`` the revenue is updated from the loaded batch alone
     (see ``refresh_city_revenue``); the tidied batch is staged once and both
-    the append and the revenue update read that copy.
+    the append and the revenue update read that copy. With ``run_id`` the rows
+    are the batch of that id in a batch table, so that a repeated run leaves
+    the rows of one (``on_known``: ``skip`` keeps them, ``replace`` takes the
+    new ones, ``refuse`` raises), and a run that was killed goes on from its
+    last finished step.
     """
+    if run_id is not None:
+        return _revenue_run(Journal(spark, f"revenue-{orders_table}", run_id, watch), source, orders_table, view, incremental, on_known)
     if not incremental:
         loaded = tidy_load(spark, source, orders_table)
         return loaded, refresh_city_revenue(spark, orders_table, view)
@@ -211,6 +290,33 @@ def city_revenue_job(
         return loaded, refresh_city_revenue(spark, orders_table, view, batch=batch)
 
 
+def _revenue_run(journal: Journal, source: DataFrame, orders_table: str, view: str, incremental: bool, on_known: str) -> tuple[JobResult, JobResult]:
+    """W3 in steps: stage the tidy rows, append the batch, publish the revenue, clean up."""
+    spark = journal.spark
+    done = journal.finished("publish")
+    if done is not None and on_known == "refuse":
+        raise KnownBatch(f"run {journal.run_id} has loaded {orders_table}; nothing was written")
+    if done is not None and on_known == "replace":
+        journal.forget()
+        done = None
+    if done is None:
+        batch, _ = journal.stored("stage", lambda: tidy_orders(source), lambda df: (df, dict))
+        journal.step("create", lambda: {"created": create_batch_table(spark, orders_table, columns_ddl(batch))})
+
+        def append() -> dict:
+            found = append_batch(batch, orders_table, journal.run_id, "replace" if on_known == "replace" else "skip", watch=journal.watch)
+            return asdict(found)
+
+        found = journal.step("append", append)
+        # The parts of a replaced batch are not known any more: the revenue is then built anew.
+        added = batch if incremental and found["status"] == "appended" else None
+        journal.step("publish", lambda: asdict(refresh_city_revenue(spark, orders_table, view, batch=added)))
+    journal.close("stage")
+    found, published = journal.finished("append"), journal.finished("publish")
+    details = {"batch": found["status"] if done is None else "skipped"}
+    return JobResult("written", found["rows"], orders_table, details), JobResult(**published)
+
+
 def seed_orders(
     spark: SparkSession,
     output_path: str,

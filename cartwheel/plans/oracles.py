@@ -172,6 +172,8 @@ ORACLES: dict[str, str] = {
     "scan_catalog": _with("SELECT * FROM raw"),
     "register_csv_inferred": _with("SELECT * FROM norm"),
     "register_parquet_partitions": _with(_EXTRACT),
+    "register_csv_recrawled": _with("SELECT * FROM norm"),
+    "register_partitions_diff": _with(f"SELECT * FROM ({_EXTRACT}) WHERE month <> 1"),
     "generate_orders": _GENERATED,
     "normalize_orders": _with("SELECT * FROM norm"),
     "tidy_orders": _with("SELECT * FROM tidy"),
@@ -213,7 +215,15 @@ ORACLES: dict[str, str] = {
     "create_table_if_missing": _with("SELECT * FROM dedup"),
     "ctas_replace": _with("SELECT * FROM dedup"),
     "city_revenue_table": _with(_REVENUE),
+    "merge_latest_table": _with("SELECT * FROM dedup"),
+    "stored_counts": _with(
+        "SELECT 'append' AS sink, COUNT(*) AS reported_rows, COUNT(*) AS stored_rows FROM dedup "
+        "UNION ALL SELECT 'months', COUNT(updated_at), COUNT(updated_at) FROM dedup"
+    ),
     "job_load_orders": _with("SELECT * FROM conformed"),
+    "job_load_orders_batches": _with("SELECT * FROM conformed"),
     "city_extract": _with(_EXTRACT),
     "job_city_revenue": _with(_REVENUE),
+    "job_city_revenue_rerun": _with(_REVENUE),
+    "job_city_revenue_incremental": _with(_REVENUE),
 }

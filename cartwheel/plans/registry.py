@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import operator
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,12 +30,15 @@ from ..operators.quality import (
 )
 from ..schema import CONFORMED_SCHEMA, REQUIRED_COLUMNS
 from ..session import scratch_database, scratch_path
+from ..sinks.batches import batch_rows
 from ..sinks.files import CSV_WRITE_OPTIONS, write_csv, write_dataset, write_parquet, write_parquet_by_month
+from ..sinks.merge import merge_latest
 from ..sinks.tables import append_table, create_table_if_missing, ctas_replace, publish_table
 from ..sources.catalog import scan_catalog, select_all
-from ..sources.files import read_raw_csv, register_csv_table, register_parquet_table
+from ..sources.files import footer_count, read_raw_csv, refresh_parquet_partitions, register_csv_table, register_parquet_table
 from ..sources.fixture import raw_orders, tpch_orders
 from ..sources.generate import orders_for_rows
+from ..storage import delete_path, table_location
 from . import jobs
 from .reuse import kept
 
@@ -116,6 +120,32 @@ def q_generate_orders(spark, sf_dir):
     return orders_for_rows(rows, "row")
 
 
+def q_register_csv_recrawled(spark, sf_dir):
+    """A clean first delivery crawled, then all other rows, with one more column; types are widened."""
+    path, name = scratch_path(spark, "orders-deliveries"), f"{scratch_database(spark, 'recrawl')}.orders_csv"
+    raw = _raw(spark, sf_dir)
+    clean = F.lit(True)
+    for c in conversions(raw).values():
+        clean = clean & c.isNotNull()
+    write_dataset(raw.filter(clean), f"{path}/first", "csv", skip_empty=False)
+    register_csv_table(spark, name, path, files=f"{path}/first")
+    others = raw.filter(~clean | clean.isNull()).withColumn("channel", F.lit("web"))
+    write_dataset(others, f"{path}/second", "csv", skip_empty=False)
+    return normalize_orders(register_csv_table(spark, name, path, merge=True, files=f"{path}/second"))
+
+
+def q_register_partitions_diff(spark, sf_dir):
+    """Month 3 arrives and month 1 goes after the registration; only these two partitions are altered."""
+    path, name = scratch_path(spark, "orders-months"), f"{scratch_database(spark, 'months')}.orders_city"
+    with kept(jobs.city_rows(_dated(spark, sf_dir))) as rows:
+        write_parquet_by_month(rows.filter("month <> 3"), path)
+        register_parquet_table(spark, name, path)
+        write_parquet_by_month(rows.filter("month = 3"), path, partition_overwrite="dynamic")
+    delete_path(spark, f"{path}/month=1")
+    refresh_parquet_partitions(spark, name)
+    return spark.table(name)
+
+
 # --- transforms, filters, aggregates, checks -------------------------------------------------
 
 
@@ -235,6 +265,30 @@ def q_city_revenue_table(spark, sf_dir):
     return spark.table(view)
 
 
+def q_merge_latest_table(spark, sf_dir):
+    """D1 into a bucketed table: three batches of updates, one of them merged twice."""
+    name = f"{scratch_database(spark, 'merge')}.orders"
+    with kept(_norm(spark, sf_dir)) as rows:
+        part = F.pmod(F.xxhash64("order_id", "updated_at"), F.lit(3))
+        for k in (0, 1, 2, 1):
+            merge_latest(rows.filter(part == k), name, buckets=8)
+    return spark.table(name)
+
+
+def q_stored_counts(spark, sf_dir):
+    """Q7: the rows that an append and a month write report, beside the rows that the files' footers hold."""
+    path, name = scratch_path(spark, "counted-months"), f"{scratch_database(spark, 'counted')}.orders"
+    create_table_if_missing(spark, name)
+    with kept(_conformed(spark, sf_dir)) as rows:
+        appended = append_table(rows, name)
+        dated = rows.filter("updated_at IS NOT NULL").withColumn("month", month_of(F.col("updated_at")))
+        written = write_parquet_by_month(dated, path)
+    reported = {"append": appended, "months": written}
+    stored = {"append": table_location(spark, name), "months": path}
+    counts = [footer_count(spark, stored[k], "stored_rows").select(F.lit(k).alias("sink"), F.lit(reported[k]).cast("bigint").alias("reported_rows"), "stored_rows") for k in reported]
+    return counts[0].unionByName(counts[1])
+
+
 # --- jobs ---------------------------------------------------------------------------------------
 
 
@@ -262,11 +316,42 @@ def q_job_city_revenue(spark, sf_dir):
     return spark.table(f"{db}.city_wise_revenue")
 
 
+def q_job_load_orders_batches(spark, sf_dir):
+    """W1 as batches: two runs, the first repeated under its id, the second replaced as one unit."""
+    source = scan_catalog(spark, _stored(passes_gate(_raw(spark, sf_dir)), "orders_source"))
+    target = f"{scratch_database(spark, 'batches')}.orders"
+    half = F.pmod(F.xxhash64("order_id"), F.lit(2))
+    run = uuid.uuid4().hex[:12]
+    for which, on_known in ((0, "refuse"), (0, "skip"), (1, "refuse"), (1, "replace")):
+        jobs.load_orders(spark, source.filter(half == which), target, run_id=f"{run}-{which}", on_known=on_known)
+    return batch_rows(spark, target)
+
+
+def q_job_city_revenue_rerun(spark, sf_dir):
+    """W3 run twice under one id: the rows and the revenue of one run."""
+    source = read_raw_csv(spark, _land_raw_csv(spark, sf_dir))
+    db, run = scratch_database(spark, "rerun"), uuid.uuid4().hex[:12]
+    for _ in range(2):
+        jobs.city_revenue_job(spark, source, f"{db}.orders_tidy", f"{db}.city_wise_revenue", run_id=run)
+    return spark.table(f"{db}.city_wise_revenue")
+
+
+def q_job_city_revenue_incremental(spark, sf_dir):
+    """W3 in two deliveries, the revenue of the second added to that of the first."""
+    source = read_raw_csv(spark, _land_raw_csv(spark, sf_dir))
+    db, part = scratch_database(spark, "increment"), F.pmod(F.xxhash64("customer_id"), F.lit(2))
+    for which in (0, 1):
+        jobs.city_revenue_job(spark, source.filter(part == which), f"{db}.orders_tidy", f"{db}.city_wise_revenue", incremental=True)
+    return spark.table(f"{db}.city_wise_revenue")
+
+
 QUERIES: dict[str, Query] = {
     "scan_csv_strings": q_scan_csv_strings,
     "scan_catalog": q_scan_catalog,
     "register_csv_inferred": q_register_csv_inferred,
     "register_parquet_partitions": q_register_parquet_partitions,
+    "register_csv_recrawled": q_register_csv_recrawled,
+    "register_partitions_diff": q_register_partitions_diff,
     "generate_orders": q_generate_orders,
     "normalize_orders": q_normalize_orders,
     "tidy_orders": q_tidy_orders,
@@ -287,7 +372,12 @@ QUERIES: dict[str, Query] = {
     "create_table_if_missing": q_create_table_if_missing,
     "ctas_replace": q_ctas_replace,
     "city_revenue_table": q_city_revenue_table,
+    "merge_latest_table": q_merge_latest_table,
+    "stored_counts": q_stored_counts,
     "job_load_orders": q_job_load_orders,
+    "job_load_orders_batches": q_job_load_orders_batches,
     "city_extract": q_city_extract,
     "job_city_revenue": q_job_city_revenue,
+    "job_city_revenue_rerun": q_job_city_revenue_rerun,
+    "job_city_revenue_incremental": q_job_city_revenue_incremental,
 }

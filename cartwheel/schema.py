@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# --- Fixed values: names, order, types and bounds of the reference's tables. ---
 # Column order of the raw landing files and of the conformed table.
 ORDER_COLUMNS: tuple[str, ...] = (
     "order_id",
@@ -74,6 +75,7 @@ TABLE_COLUMNS: tuple[tuple[str, str, bool], ...] = (
     ("payment_status", "VARCHAR(32)", False),
     ("updated_at", "TIMESTAMP_NTZ", True),
 )
+# --- end of fixed values ---
 
 # Text bounds of the target table, used by the constraint check.
 TEXT_BOUNDS: dict[str, int] = {

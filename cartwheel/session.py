@@ -101,6 +101,15 @@ def scratch_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def durable_root(spark: SparkSession) -> str:
+    """The shared folder itself, which a later session finds again.
+
+    ``scratch_root`` is a folder of this session's own inside it.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return configured.rstrip("/") if configured else scratch_root(spark).rsplit("/", 1)[0]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the scratch root for one run of ``name``."""
     root = scratch_root(spark)

@@ -22,6 +22,8 @@ from ..operators.quality import QualityError, constraint_violations, duplicate_k
 from ..plans.params import check_identifier, check_table_name, split_table_name
 from ..plans.reuse import kept
 from ..schema import TABLE_COLUMNS
+from ..storage import delete_path
+from .versions import Watch, columns_ddl, drop_old_versions, new_version, point_to, write_version
 
 _TARGET_PROPERTY = "cartwheel.published_table"
 _PREVIOUS_PROPERTY = "cartwheel.previous_table"
@@ -54,7 +56,7 @@ def _in_table_order(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
 
 
 def check_new_keys(
-    df: DataFrame, spark: SparkSession, name: str, key: str, prune_by_range: bool = True, known: dict | None = None
+    df: DataFrame, spark: SparkSession, name: str, key: str, prune_by_range: bool = True, known: dict | None = None, table: DataFrame | None = None
 ) -> dict:
     """Refuse a batch whose ``key`` is NULL, repeats, or is already in ``name``.
 
@@ -69,7 +71,8 @@ def check_new_keys(
     every row group whose statistics lie outside. The test stays exact (a key
     outside the range cannot match). Pass a staged or cheap ``df``: it is read
     twice. A batch just de-duplicated by ``key`` needs no count of repeats:
-    ``known`` then gives its ``null_keys``, ``repeated_keys``, ``lo`` and ``hi``. The check and a later insert are two steps, so two loads at once
+    ``known`` then gives its ``null_keys``, ``repeated_keys``, ``lo`` and ``hi``. ``table`` gives
+    the rows of ``name`` that count, if not all do. The check and a later insert are two steps, so two loads at once
     can both pass.
     """
     if known is None:
@@ -83,7 +86,7 @@ def check_new_keys(
     else:
         report = dict(known)
     lo, hi = report.pop("lo"), report.pop("hi")
-    existing = spark.table(name).select(F.col(key).alias("__existing"))
+    existing = (spark.table(name) if table is None else table).select(F.col(key).alias("__existing"))
     if prune_by_range and lo is not None:
         existing = existing.filter(F.col("__existing").between(F.lit(lo), F.lit(hi)))
     keys = df.select(F.col(key).alias("__key"))
@@ -123,33 +126,33 @@ def _insert(df: DataFrame, spark: SparkSession, name: str) -> int:
     return int(obs.get.get("rows", 0))
 
 
-def ctas_replace(df: DataFrame, name: str, columns=None, key: str | None = None) -> int:
+def ctas_replace(df: DataFrame, name: str, columns=None, key: str | None = None, watch: Watch = lambda step: None) -> int:
     """K4: recreate ``name`` from ``df`` (re-runnable); rows written.
 
-    The rows go to a table of their own first, which takes the name once the
-    write has succeeded: a failing query leaves the old table as it is. With
-    ``columns`` (as in ``TABLE_COLUMNS``) the table has those types and text
-    bounds, and before the swap its NOT NULL rules (Q5) and, with ``key``, its
-    key (Q6) are checked.
-    Readers that opened the old table before the swap lose its files.
+    The rows go to a version folder of their own; then the table's pointer is
+    set to it (see :mod:`cartwheel.sinks.versions`). A failing query, or a
+    crash before the swap, leaves the old table as it is; no file is moved.
+    With ``columns`` (as in ``TABLE_COLUMNS``) the table has those types and
+    text bounds, and before the swap its NOT NULL rules (Q5) and, with
+    ``key``, its key (Q6) are checked. Readers that opened the old rows can
+    finish: the version before the current one stays. ``watch`` is told each
+    step.
     """
     check_table_name(name)
     spark = df.sparkSession
-    fresh = f"{name}__new_{uuid.uuid4().hex[:10]}"
-    obs = Observation(f"ctas_{uuid.uuid4().hex[:8]}")
+    folder = new_version(spark, name)
+    body = columns_ddl(df) if columns is None else ", ".join(f"{col} {kind}" for col, kind, _ in columns)
     try:
-        if columns is None:
-            df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format("parquet").saveAsTable(fresh)
-            rows = int(obs.get.get("rows", 0))
-        else:
-            spark.sql(table_ddl(fresh, columns))
-            rows = _insert(df, spark, fresh)
-            _check_stored(spark.table(fresh), columns, key, name)
+        watch("write")
+        rows = write_version(df, folder, None if columns is None else body)
+        watch("written")
+        if columns is not None:
+            _check_stored(spark.read.parquet(folder), columns, key, name)
     except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        delete_path(spark, folder)
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    point_to(spark, name, folder, body, watch)
+    drop_old_versions(spark, name)
     return rows
 
 
@@ -179,7 +182,10 @@ def publish_table(df: DataFrame, view: str, columns: Sequence[str] | None = None
     version = f"{base}__v{uuid.uuid4().hex[:12]}"
     table = f"{schema}.{version}" if schema else version
     previous, oldest = _view_target(spark, view), _view_target(spark, view, _PREVIOUS_PROPERTY)
-    rows = ctas_replace(df, table)
+    # The name is fresh, so the rows are written under it at once.
+    obs = Observation(f"publish_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format("parquet").saveAsTable(table)
+    rows = int(obs.get.get("rows", 0))
     shown = ", ".join(check_identifier(c, "column") for c in columns) if columns else "*"
     try:
         spark.sql(
