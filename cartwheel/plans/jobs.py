@@ -97,7 +97,7 @@ def load_orders(
         refuse_failures(report, target_table)
         if report["row_count"] == 0:
             return JobResult("empty", 0, target_table, {"report": report})
-        create_table_if_missing(spark, target_table)
+        create_table_if_missing(spark, target_table, key_filter=KEY_COLUMN if key_check else None)
         # No NULL key passes the gate, and the de-duplication leaves one row per key.
         known = {"null_keys": 0, "repeated_keys": 0, "lo": lo, "hi": hi}
         key = KEY_COLUMN if key_check else None

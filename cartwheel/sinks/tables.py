@@ -25,25 +25,40 @@ from ..schema import TABLE_COLUMNS
 from ..storage import delete_path
 from .versions import Watch, columns_ddl, drop_old_versions, new_version, point_to, write_version
 
+#: Batches of up to this many rows are looked for by their keys; the list travels with the query.
+FEW_KEYS = 1000
+
 _TARGET_PROPERTY = "cartwheel.published_table"
 _PREVIOUS_PROPERTY = "cartwheel.previous_table"
 
 
-def table_ddl(name: str, columns=TABLE_COLUMNS, using: str = "parquet") -> str:
-    """``CREATE TABLE IF NOT EXISTS`` text for the typed orders table."""
+def table_ddl(name: str, columns=TABLE_COLUMNS, using: str = "parquet", key_filter: str | None = None) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` text for the typed orders table.
+
+    With ``key_filter`` every file written to the table carries a Bloom filter
+    of that column for each row group, which the key check uses.
+    """
     check_table_name(name)
     body = ",\n  ".join(f"{col} {kind}" for col, kind, _ in columns)
-    return f"CREATE TABLE IF NOT EXISTS {name} (\n  {body}\n) USING {using}"
+    options = f"\nOPTIONS ({bloom_option(key_filter)})" if key_filter else ""
+    return f"CREATE TABLE IF NOT EXISTS {name} (\n  {body}\n) USING {using}{options}"
+
 
+def bloom_option(key: str) -> str:
+    return f"'parquet.bloom.filter.enabled#{check_identifier(key, 'key')}' 'true'"
 
-def create_table_if_missing(spark: SparkSession, name: str, columns=TABLE_COLUMNS) -> bool:
-    """K3: create the schema and the typed table when absent; True if created."""
+
+def create_table_if_missing(spark: SparkSession, name: str, columns=TABLE_COLUMNS, key_filter: str | None = None) -> bool:
+    """K3: create the schema and the typed table when absent; True if created.
+
+    ``key_filter`` names the column of which files keep Bloom filters.
+    """
     schema, _ = split_table_name(name)
     if schema:
         check_identifier(schema, "schema")
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     existed = spark.catalog.tableExists(name)
-    spark.sql(table_ddl(name, columns))
+    spark.sql(table_ddl(name, columns, key_filter=key_filter))
     return not existed
 
 
@@ -69,7 +84,11 @@ def check_new_keys(
     With ``prune_by_range`` the table is read only between the batch's
     smallest and largest key: the bounds reach the Parquet scan, which skips
     every row group whose statistics lie outside. The test stays exact (a key
-    outside the range cannot match). Pass a staged or cheap ``df``: it is read
+    outside the range cannot match). A batch of up to ``FEW_KEYS`` keys, such
+    as a late correction, is looked for by its keys: the list reaches the scan
+    and its row groups are skipped by their Bloom filters where the table keeps
+    them (``create_table_if_missing(key_filter=...)``), whatever the order of
+    the keys; what is left is compared exactly. Pass a staged or cheap ``df``: it is read
     twice. A batch just de-duplicated by ``key`` needs no count of repeats:
     ``known`` then gives its ``null_keys``, ``repeated_keys``, ``lo`` and ``hi``. ``table`` gives
     the rows of ``name`` that count, if not all do. The check and a later insert are two steps, so two loads at once
@@ -87,10 +106,14 @@ def check_new_keys(
         report = dict(known)
     lo, hi = report.pop("lo"), report.pop("hi")
     existing = (spark.table(name) if table is None else table).select(F.col(key).alias("__existing"))
-    if prune_by_range and lo is not None:
-        existing = existing.filter(F.col("__existing").between(F.lit(lo), F.lit(hi)))
-    keys = df.select(F.col(key).alias("__key"))
-    hits = existing.join(keys, F.col("__existing") == F.col("__key"), "left_semi")
+    few = _few_keys(df, key) if table is None else None
+    if few is not None:
+        hits = rows_with_keys(spark, name, key, few).select(F.col(key).alias("__existing"))
+    else:
+        if prune_by_range and lo is not None:
+            existing = existing.filter(F.col("__existing").between(F.lit(lo), F.lit(hi)))
+        keys = df.select(F.col(key).alias("__key"))
+        hits = existing.join(keys, F.col("__existing") == F.col("__key"), "left_semi")
     report["existing_keys"] = hits.agg(F.count_distinct("__existing").alias("n")).first()["n"]
     if report["null_keys"]:
         raise QualityError(f"NULL {key} in the batch; nothing was written")
@@ -101,6 +124,24 @@ def check_new_keys(
     return report
 
 
+def _few_keys(df: DataFrame, key: str) -> list | None:
+    """The keys of a batch of up to ``FEW_KEYS`` rows; None for a larger one."""
+    found = [r[0] for r in df.select(key).limit(FEW_KEYS + 1).collect()]  # bounded
+    return [k for k in found if k is not None] if len(found) <= FEW_KEYS else None
+
+
+def rows_with_keys(spark: SparkSession, name: str, key: str, keys: Sequence) -> DataFrame:
+    """The rows of a table whose ``key`` is one of a short list, read through the files' statistics and Bloom filters.
+
+    The list is pushed into the scan whole; the session of its own in which
+    that is switched on shares the catalog.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", str(max(10, len(keys))))
+    table = own.table(f"{spark.catalog.currentDatabase()}.{name}" if "." not in name else name)
+    return table.filter(F.col(key).isin(list(keys))) if keys else table.limit(0)
+
+
 def append_table(df: DataFrame, name: str, key: str | None = None, stage: bool = True, known: dict | None = None) -> int:
     """K1: append rows to an existing table, by column name; rows written.
 

@@ -381,3 +381,53 @@ def test_a6_counts_from_footers(spark, out):
     assert "PushedAggregation: [COUNT(*)]" in counted._jdf.queryExecution().executedPlan().toString()
     assert counted.first()["row_count"] == 1000
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+# --- Q6 / K1: Bloom filters -----------------------------------------------------------------------
+
+
+def _rows_scanned(df) -> int:
+    """Rows that the file scans of an executed plan gave out."""
+    df.collect()
+
+    def walk(node) -> int:
+        name, total = node.nodeName(), 0
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if name.startswith("Scan parquet"):
+            total += node.metrics().apply("numOutputRows").value()
+        if "QueryStage" in name:
+            total += walk(node.plan())
+        for i in range(node.children().size()):
+            total += walk(node.children().apply(i))
+        return total
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.mark.parametrize("kept", [True, False])
+def test_q6_random_keys_skip_files_by_their_filters(spark, db, kept):
+    from cartwheel.sinks import create_table_if_missing
+    from cartwheel.sinks.tables import append_table, check_new_keys, rows_with_keys
+
+    name = f"{db}.keyed{kept}"
+    columns = (("k", "BIGINT", True), ("v", "BIGINT", False))
+    create_table_if_missing(spark, name, columns, key_filter="k" if kept else None)
+    # Every file spans the whole range of keys, and holds too many of them for a dictionary.
+    rows = spark.range(0, 1_200_000, numPartitions=4).select((F.shiftright(F.xxhash64("id"), 2) * 2).alias("k"), F.col("id").alias("v"))
+    append_table(rows, name)
+    stored = spark.table(name)
+    old = [r.k for r in stored.filter("v % 400000 = 7").collect()]
+    new = [r[0] for r in spark.range(50).select(F.shiftright(F.xxhash64(F.lit("new"), "id"), 2) * 2 + 1).collect()]
+    scanned = _rows_scanned(rows_with_keys(spark, name, "k", new[:3]))
+    assert scanned < 600_000 if kept else scanned == 1_200_000
+    assert sorted(r.k for r in rows_with_keys(spark, name, "k", [*new, *old]).collect()) == sorted(old)
+    batch = lambda keys: spark.createDataFrame([(k, 0) for k in keys], "k long, v long")
+    assert check_new_keys(batch(new), spark, name, "k")["existing_keys"] == 0
+    with pytest.raises(QualityError, match=f"{len(old)} k value"):
+        append_table(batch([*new, *old]), name, key="k")
+    large = [r[0] for r in spark.range(3000).select(F.shiftright(F.xxhash64(F.lit("more"), "id"), 2) * 2 + 1).collect()]
+    with pytest.raises(QualityError, match="1 k value"):
+        append_table(batch([*large, old[0]]), name, key="k")
+    assert append_table(batch(large), name, key="k") == 3000
+    assert rows_with_keys(spark, name, "k", []).count() == 0
