@@ -1,19 +1,22 @@
-"""Line dedup: prefix doubling over line-ID sequences, later copies of repeated runs deleted.
+"""Line dedup: prefix doubling over line-ID sequences, later copies of maximal repeated runs deleted.
 
 The corpus is read as sequences of line IDs. Prefix doubling ranks runs of
 1, 2, 4 ... lines: the rank of a run of ``2h`` lines is the pair of the ranks
-of its halves, Spark groups equal pairs, and runs seen once drop out. A group
-of equal ranks is an interval of the suffix array whose longest common prefix
-is at least the run length; its earliest position (by document, then line) is
-the copy that stays. A maximal repeated run of ``L >= min_lines`` lines is
-covered by its runs of ``min_lines`` lines, so doubling stops at that length
-and a line goes if any such run that holds it has an earlier copy. A single
-line is a run if it is long or stands in many documents.
+of its halves, Spark groups equal pairs, and runs seen once drop out, until no
+rank repeats. A group of equal ranks is an interval of the suffix array whose
+longest common prefix is at least the run length; its earliest position (by
+document, then line) is the copy that stays.
+
+Where a run of ``min_lines`` lines has an earlier copy and the run one line
+before does not continue the same copy, a maximal run begins. Its length is the
+longest common prefix of the two positions, found from the ranks of all
+lengths, the longest first. A single line is a run if it is long or stands in
+many documents.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
@@ -40,9 +43,10 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = 50
     if min_lines < 1 or min_lines & (min_lines - 1):
         raise ValueError("min_lines must be a power of two")
     scratch = Scratch(docs.sparkSession, "lines")
-    gone = repeated_runs(docs, scratch, min_lines, min_words, min_docs).groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    found = repeated_runs(docs, scratch, min_lines, min_words, min_docs)
+    gone = found.groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("runs"))
     gone = scratch.table(gone.withColumnsRenamed({"d": "gd", "h": "gh"}), "gone")
-    scratch.drop("lines", "often", *(f"ranks-{1 << i}" for i in range(min_lines.bit_length())), *(f"runs-{1 << i}" for i in range(min_lines.bit_length())))
+    scratch.drop_others("gone")
     names = docs.columns
     boxed = docs.select(F.struct(*[_quoted(c) for c in names]).alias("row"), F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"))
     # Grows with the corpus: never broadcast, at any size.
@@ -63,7 +67,12 @@ def _quoted(name: str) -> str:
 
 
 def repeated_runs(docs: DataFrame, scratch: Scratch, min_lines: int, min_words: int, min_docs: int) -> DataFrame:
-    """``(d, h, first, last)``: lines ``first..last`` of a text are a run with an earlier copy."""
+    """``d, h, first, last, lines, source``: lines ``first..last`` of a text are a run with an earlier copy.
+
+    ``lines`` counts the run's lines with a word; ``source`` is the place of
+    the copy that stays: document, text hash, and number of the line among
+    those with a word.
+    """
     texts = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), "text").filter("text IS NOT NULL")
     numbered = F.transform(F.split("text", "\n", -1), lambda s, i: F.struct(i.alias("line"), s.alias("s")))
     worded = F.filter(numbered, lambda x: x["s"].rlike(WORD))
@@ -76,31 +85,66 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, min_lines: int, min_words:
         (F.regexp_count("x.s", F.lit(WORD + "+")) >= min_words).alias("long"),
     )
     runs = _seen_twice(scratch.table(lines, "lines"), scratch, 1)
+    scratch.drop("lines")
     found = runs.filter("later")
     if min_lines > 1:
         # Rows that repeat a document do not count twice. A table of its own, as the ranks are.
         often = runs.filter(F.col("places") >= min_docs).select("rank", *KEY).distinct().groupBy("rank").agg(F.count(F.lit(1)).alias("docs"))
         often = scratch.table(often.filter(F.col("docs") >= min_docs).select("rank", F.lit(True).alias("often")), "often")
         found = found.filter(F.col("long") | (F.col("places") >= min_docs)).join(often, "rank", "left").filter("long OR often")
-    found = found.select(*KEY, "first", "last")
-    width = 1
-    while width < min_lines:
-        head = runs.select(*KEY, "seq", "first", F.col("rank").alias("r1"))
-        tail = runs.select(*KEY, (F.col("seq") - width).alias("seq"), "last", F.col("rank").alias("r2"))
-        on = F.col("a.d").eqNullSafe(F.col("b.d")) & (F.col("a.h") == F.col("b.h")) & (F.col("a.seq") == F.col("b.seq"))
-        paired = head.alias("a").join(tail.alias("b"), on).select("a.d", "a.h", "a.seq", "a.first", "b.last", F.unhex(F.md5(F.concat("r1", "r2"))).alias("rank"))
+    single = found.select(*KEY, "first", "last", F.lit(1).alias("lines"), "source")
+
+    ranked, width = {1: runs.select(*_PLACED)}, 1
+    while True:
+        head = ranked[width].select(*KEY, "seq", "first", F.col("rank").alias("r1"))
+        tail = ranked[width].select(F.col("d").alias("td"), F.col("h").alias("th"), (F.col("seq") - width).alias("tseq"), "last", F.col("rank").alias("r2"))
+        on = F.col("d").eqNullSafe(F.col("td")) & (F.col("h") == F.col("th")) & (F.col("seq") == F.col("tseq"))
+        paired = head.join(tail, on).select(*KEY, "seq", "first", "last", F.unhex(F.md5(F.concat("r1", "r2"))).alias("rank"))
+        runs = _seen_twice(paired, scratch, 2 * width)
+        if runs.isEmpty():
+            break
         width *= 2
-        runs = _seen_twice(paired, scratch, width)
-    if min_lines > 1:
-        found = found.unionByName(runs.filter("later").select(*KEY, "first", "last"))
-    return found
+        ranked[width] = runs.select(*_PLACED)
+    if min_lines not in ranked:
+        return single if min_lines > 1 else single.limit(0)
+    return single.unionByName(_maximal(ranked, min_lines, scratch)) if min_lines > 1 else _maximal(ranked, 1, scratch)
+
+
+#: What is known of a repeated run: where it is, its rank, and its earliest copy.
+_PLACED = [*KEY, "seq", "first", "last", "rank", "later", "source"]
 
 
 def _seen_twice(runs: DataFrame, scratch: Scratch, width: int) -> DataFrame:
-    """The runs whose rank occurs at two places; ``later`` tells those with an earlier copy, ``places`` how often it occurs."""
+    """The runs whose rank occurs at two places; ``source`` is the earliest, ``later`` tells the others, ``places`` how often it occurs."""
     place = F.struct(*KEY, "seq")
-    ends = runs.groupBy("rank").agg(F.min(place).alias("lowest"), F.max(place).alias("highest"), F.count(F.lit(1)).alias("places")).filter("lowest < highest")
+    ends = runs.groupBy("rank").agg(F.min(place).alias("source"), F.max(place).alias("highest"), F.count(F.lit(1)).alias("places")).filter("source < highest")
     # A table of its own, so that a join on a frequent rank can be split.
-    ranks = scratch.table(ends.select("rank", "lowest", "places"), f"ranks-{width}")
+    ranks = scratch.table(ends.select("rank", "source", "places"), f"ranks-{width}")
     # Rows that repeat a document are one place: no later step meets them twice.
-    return scratch.table(runs.join(ranks, "rank").withColumn("later", F.col("lowest") < place).drop("lowest").distinct(), f"runs-{width}")
+    return scratch.table(runs.join(ranks, "rank").withColumn("later", F.col("source") < place).distinct(), f"runs-{width}")
+
+
+def _maximal(ranked: dict[int, DataFrame], least: int, scratch: Scratch) -> DataFrame:
+    """The maximal runs of ``least`` lines or more that have an earlier copy, each with its whole length.
+
+    Runs of ``least`` lines that follow each other in a text and in the copy
+    are one maximal run, which begins at the first of them.
+    """
+    later = ranked[least].filter("later")
+    before = Window.partitionBy(*KEY).orderBy("seq")
+    same = (F.lag("seq").over(before) == F.col("seq") - 1) & F.lag(F.struct(F.col("source.d"), F.col("source.h"), F.col("source.seq") + 1)).over(before).eqNullSafe(
+        F.struct(F.col("source.d"), F.col("source.h"), F.col("source.seq"))
+    )
+    starts = later.withColumn("goes_on", F.coalesce(same, F.lit(False))).filter("NOT goes_on")
+    runs = scratch.table(starts.select(*KEY, "seq", "first", F.col("first").alias("last"), F.lit(0).alias("lines"), "source"), "starts")
+    for width in sorted(ranked, reverse=True):
+        # Both places must go on with runs of one rank, ``width`` lines longer.
+        own = ranked[width].select(F.col("d").alias("xd"), F.col("h").alias("xh"), F.col("seq").alias("xs"), F.col("last").alias("own_last"), F.col("rank").alias("own_rank"))
+        other = ranked[width].select(F.col("d").alias("yd"), F.col("h").alias("yh"), F.col("seq").alias("ys"), F.col("rank").alias("other_rank"))
+        at = F.col("d").eqNullSafe(F.col("xd")) & (F.col("h") == F.col("xh")) & (F.col("seq") + F.col("lines") == F.col("xs"))
+        there = F.col("source.d").eqNullSafe(F.col("yd")) & (F.col("source.h") == F.col("yh")) & (F.col("source.seq") + F.col("lines") == F.col("ys"))
+        both = runs.join(own, at, "left").join(other, there, "left")
+        longer = F.coalesce(F.col("own_rank") == F.col("other_rank"), F.lit(False))
+        grown = both.select(*KEY, "seq", "first", F.when(longer, F.col("own_last")).otherwise(F.col("last")).alias("last"), (F.col("lines") + F.when(longer, width).otherwise(0)).alias("lines"), "source")
+        runs = scratch.table(grown, f"grown-{width}")
+    return runs.select(*KEY, "first", "last", "lines", "source")

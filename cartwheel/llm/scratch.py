@@ -28,10 +28,12 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = scratch_path(spark, name)
+        self.names: set[str] = set()
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it back; the shuffle files of the write go when it ends."""
         path = f"{self.root}/{name}"
+        self.names.add(name)
         before = self.spark.conf.get(CLEAN_SHUFFLES, "false")
         self.spark.conf.set(CLEAN_SHUFFLES, "true")
         try:
@@ -40,12 +42,17 @@ class Scratch:
             self.spark.conf.set(CLEAN_SHUFFLES, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop_others(self, *kept: str) -> None:
+        """Delete all tables but these."""
+        self.drop(*(self.names - set(kept)))
+
     def drop(self, *names: str) -> None:
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
         conf = self.spark._jsparkSession.sessionState().newHadoopConf()
         for name in names:
             path = hadoop(f"{self.root}/{name}")
             path.getFileSystem(conf).delete(path, True)
+            self.names.discard(name)
 
 
 def worker_state() -> dict:
