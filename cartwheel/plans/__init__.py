@@ -11,11 +11,13 @@ from .jobs import (
     seed_orders,
     tidy_load,
 )
+from .journal import Journal
 from .reuse import kept, staged
 from .params import check_identifier, check_jdbc_url, check_location, check_table_name
 
 __all__ = [
     "JobResult",
+    "Journal",
     "check_identifier",
     "check_jdbc_url",
     "check_location",

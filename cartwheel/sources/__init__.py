@@ -1,7 +1,14 @@
 """Sources: each returns a lazy DataFrame."""
 
 from .catalog import scan_catalog, select_all
-from .files import CSV_READ_OPTIONS, read_raw_csv, register_csv_table, register_parquet_table
+from .files import (
+    CSV_READ_OPTIONS,
+    footer_count,
+    read_raw_csv,
+    refresh_parquet_partitions,
+    register_csv_table,
+    register_parquet_table,
+)
 from .fixture import raw_orders, raw_orders_from, tpch_orders
 from .generate import generate_orders, orders_for_rows
 from .inline import inline_rows
@@ -10,6 +17,7 @@ from .jdbc import JdbcConnection, jdbc_read_options, key_bounds, read_jdbc
 __all__ = [
     "CSV_READ_OPTIONS",
     "JdbcConnection",
+    "footer_count",
     "generate_orders",
     "inline_rows",
     "jdbc_read_options",
@@ -19,6 +27,7 @@ __all__ = [
     "raw_orders_from",
     "read_jdbc",
     "read_raw_csv",
+    "refresh_parquet_partitions",
     "register_csv_table",
     "register_parquet_table",
     "scan_catalog",
