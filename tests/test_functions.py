@@ -123,3 +123,17 @@ def test_p7_one_cast_agrees_with_the_strict_pattern(spark):
     rows = df.select("t", parse.to_timestamp(df, "t").cast("string").alias("got"), strict.cast("string").alias("want")).collect()
     assert [(r.t, r.got) for r in rows] == [(r.t, r.want) for r in rows]
     assert sum(r.got is not None for r in rows) == 7
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_p3_one_rule_for_text_and_numbers(spark, ansi):
+    cases = [("5.0", 5), ("5.", 5), (" -7.000 ", -7), ("5.5", None), ("5.0x", None), (".0", None), ("1e3", None), ("9223372036854775808.0", None), ("", None), (None, None)]
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        text = spark.createDataFrame([(v,) for v, _ in cases], "v string")
+        assert [r[0] for r in text.select(parse.to_long(text, "v")).collect()] == [want for _, want in cases]
+        numbers = spark.createDataFrame([(5.0, Decimal("5.00")), (5.5, Decimal("5.50")), (-7.0, Decimal("-7")), (float("nan"), None), (1e30, None)], "d double, m decimal(10,2)")
+        got = [tuple(r) for r in numbers.select(parse.to_long(numbers, "d"), parse.to_long(numbers, "m")).collect()]
+        assert got == [(5, 5), (None, None), (-7, -7), (None, None), (None, None)]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
