@@ -189,9 +189,12 @@ def test_op13_agenda_equals_the_library(library):
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
     texts += ["".join(chr(rng.choice([rng.randrange(32, 0x3000), rng.randrange(0x4E00, 0x9FFF), rng.randrange(0x1F300, 0x1F700)])) for _ in range(40)) for _ in range(500)]
     texts += ["abcdefgh" * 3000, "x" * 5000, " " * 5000]
-    ids = vocabulary.encode(texts, processor)  # chunks are checked as they are met
+    ints = lambda rows: [np.frombuffer(x, np.int32).tolist() for x in rows]
+    ids = ints(vocabulary.encode(texts, processor))  # chunks are checked as they are met
     assert ids == processor.encode(texts) and [vocabulary.decode(x) for x in ids] == processor.decode(ids)
-    assert vocabulary.encode(texts) == ids  # from memory
+    assert ints(vocabulary.encode(texts)) == ids  # from memory
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+    assert vocabulary.decode_all(np.array(sum(ids, []), np.int32), offsets).to_pylist() == processor.decode(ids)
     wild = [[rng.randrange(600) for _ in range(rng.randint(0, 12))] for _ in range(3000)]
     wild += [[rng.choice([0, 1, 2, 196, 172, 230, 259, 260, 300, 29871]) for _ in range(rng.randint(0, 6))] for _ in range(3000)]
     assert [vocabulary.decode(x) for x in wild] == processor.decode(wild)
@@ -228,5 +231,6 @@ def test_op13_decodes_lists_and_refuses_other_models(spark, library):
         Vocabulary(model[:200])
     broken = Vocabulary(model)
     broken.merges = {k: ((1 << 20) - (m >> 20)) << 20 | m & 0xFFFFF for k, m in broken.merges.items()}  # the worst pair first
+    broken.pair_entries = np.array([broken.merges[k] for k in broken.pair_keys.tolist()])
     with pytest.raises(ValueError, match="differ"):
         broken.encode(["several words that merge in more than one way"], processor)
