@@ -352,6 +352,7 @@ def test_s4_two_threads_do_not_disturb_each_other(spark, out, db):
 
 
 def test_s5_only_changed_partitions_are_altered(spark, out, db, monkeypatch):
+    out = f"{out}/p"
     rows = spark.range(60).select("id", (F.col("id") % 6).cast("int").alias("month"), F.concat(F.lit("c/ '="), F.col("id") % 2).alias("city"))
     rows.filter("month <> 3").write.partitionBy("month", "city").parquet(out)
     name = f"{db}.p"
