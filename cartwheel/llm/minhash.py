@@ -36,6 +36,8 @@ BANDS = 48
 REGISTERS = WIDTH * BANDS
 MANTISSA = 10
 BLOCK = 192
+#: The arrays made for a slice of texts take many times its bytes.
+SLICE_BYTES = 1 << 20
 #: Two different values share a register with about this probability (HyperMinHash: 6 and 10 bits).
 COLLISION = 0.17 / 2**MANTISSA
 #: Candidates estimated this far under the threshold are not checked: six standard deviations of the estimate.
@@ -191,7 +193,7 @@ def _sketch(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = (np.arange(BANDS, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         for batch in batches:
-            for t in slices(batch.column(1)):
+            for t in slices(batch.column(1), SLICE_BYTES):
                 doc, values, n = shingles_of(t, shingle)
                 s1, s2 = np.zeros(t.n, np.uint64), np.zeros(t.n, np.uint64)
                 if len(doc):
@@ -228,7 +230,7 @@ def _sets(shingle: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in slices(batch.column(3)):
+            for t in slices(batch.column(3), SLICE_BYTES):
                 doc, values, n = shingles_of(t, shingle)
                 cuts = np.concatenate([[0], np.cumsum(n)])
                 mixed = mix64(values)

@@ -26,8 +26,8 @@ from .scratch import Scratch, worker_state
 CAPACITY = 1024
 END_ID = 2
 GROUP = 8192
-#: Words whose ids a Python worker remembers: up to twice this number.
-CACHE_WORDS = 400_000
+#: Words whose ids a task remembers: up to twice this number.
+CACHE_WORDS = 100_000
 #: White space as Unicode has it, where the tokenizer splits texts.
 _WS = r"\t-\r\x20\x85\xa0  -     　"
 #: A word of Latin letters before something that is no letter; else anything up to white space; white space.
@@ -116,7 +116,7 @@ def _pieces(path: str, capacity: int, end_id: int, keep_ids: bool):
 
 
 def _encoder(path: str):
-    """Texts to id arrays, by the tokenizer, with a memory of words.
+    """Texts to id arrays, by the tokenizer, with a memory of words that goes with the task.
 
     A byte-level BPE tokenizer never merges across its pre-tokens, and these
     never reach across the chunks of ``_CHUNK``, so a text's ids are those of
@@ -137,9 +137,12 @@ def _encoder(path: str):
         if not isinstance(tokenizer.model, BPE) or not isinstance(tokenizer.pre_tokenizer, ByteLevel) or tokenizer.normalizer is not None:
             raise ValueError("a byte-level BPE tokenizer without normalizer is needed")
         special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        state.update(tokenizer=tokenizer, special=special, new={}, old={}, letters=_byte_letters())
+        state.update(tokenizer=tokenizer, special=special, letters=_byte_letters())
     tokenizer, special, model, letters = state["tokenizer"], state["special"], state["tokenizer"].model, state["letters"]
 
+    # An idle worker must not hold the words beside the next stage's memory.
+    memory: dict[str, dict[str, bytes]] = {"new": {}, "old": {}}
+
     def learn(missing: list[str]) -> dict[str, bytes]:
         found, rest = {}, []
         for c in missing:
@@ -155,14 +158,14 @@ def _encoder(path: str):
     def encode(texts: list[str]) -> list[np.ndarray]:
         whole = [any(s in t for s in special) for t in texts]
         chunks = [[] if w else _CHUNK.findall(t) for t, w in zip(texts, whole, strict=True)]
-        new, old = state["new"], state["old"]
+        new, old = memory["new"], memory["old"]
         missing = set().union(*chunks) - new.keys()
         known = missing & old.keys()
         new.update(zip(known, map(old.__getitem__, known), strict=True))
         new.update(learn(list(missing - known)))
         out = [np.frombuffer(b"".join(map(new.__getitem__, cs)), np.uint32) for cs in chunks]
         if len(new) > CACHE_WORDS:  # half of the memory goes, what is in use stays
-            state["old"], state["new"] = new, {}
+            memory["old"], memory["new"] = new, {}
         for i in np.flatnonzero(whole):
             out[i] = np.array(tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32)
         return out

@@ -44,6 +44,8 @@ FENCE = 3
 LEAST_MARGIN = 0.07
 
 SYMBOLS = b"#*$%&|<>"
+#: The arrays made for a slice of texts take many times its bytes.
+SLICE_BYTES = 1 << 20
 N_CLASSES = 11
 _COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _DISTANCES = ["char_distance", "word_distance", "function_distance"]
@@ -196,7 +198,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     classes = _char_classes()
     vocabulary = {w.encode(): i for i, w in enumerate(COMMON_WORDS)}
     for batch in batches:
-        for t in slices(batch.column(3)):
+        for t in slices(batch.column(3), SLICE_BYTES):
             w = words(t)
             off = t.off
             row = np.repeat(np.arange(t.n), np.diff(off))

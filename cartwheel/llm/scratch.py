@@ -15,6 +15,9 @@ from ..session import scratch_path
 
 #: Spark then deletes an execution's shuffle files at its end, not when the driver's garbage is collected.
 CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: A batch of whole texts stands in memory on both sides of the pipe to Python: its bytes are bounded, not only its rows.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+MOST_BATCH_BYTES = 4 << 20
 
 
 class Scratch:
@@ -31,15 +34,18 @@ class Scratch:
         self.names: set[str] = set()
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and read it back; the shuffle files of the write go when it ends."""
+        """Write ``df`` and read it back; the shuffle files of the write go when it ends, batches for Python are small."""
         path = f"{self.root}/{name}"
         self.names.add(name)
-        before = self.spark.conf.get(CLEAN_SHUFFLES, "false")
-        self.spark.conf.set(CLEAN_SHUFFLES, "true")
+        conf = self.spark.conf
+        before = {CLEAN_SHUFFLES: conf.get(CLEAN_SHUFFLES, "false"), BATCH_BYTES: conf.get(BATCH_BYTES)}
+        conf.set(CLEAN_SHUFFLES, "true")
+        conf.set(BATCH_BYTES, _smaller_batch(before[BATCH_BYTES]))
         try:
             df.write.parquet(path)
         finally:
-            self.spark.conf.set(CLEAN_SHUFFLES, before)
+            for key, value in before.items():
+                conf.set(key, value)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop_others(self, *kept: str) -> None:
@@ -55,6 +61,12 @@ class Scratch:
             self.names.discard(name)
 
 
+def _smaller_batch(size: str) -> str:
+    """The session's batch size, or ours where it has none (0 or less) or a larger one."""
+    own = int(size) if size.lstrip("-").isdigit() else 0
+    return size if 0 < own <= MOST_BATCH_BYTES else str(MOST_BATCH_BYTES)
+
+
 def worker_state() -> dict:
     """A dict that lives as long as a Python worker: caches outlast a task there.
 

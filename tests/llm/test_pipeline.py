@@ -54,3 +54,36 @@ def test_pipeline_packs_no_blank_document(spark):
         if k:
             assert docs.filter(F.regexp_count("text", F.lit(WORD.pattern)) < 10).isEmpty()
     assert re.fullmatch(r"[a-z ]+", " ".join(name for name, _ in corpus_pipeline.STAGES))
+
+
+def test_batches_for_python_are_bounded_by_bytes(spark):
+    from cartwheel.llm.scratch import Scratch
+
+    def measure(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    rows = spark.range(3000, numPartitions=1).select(F.repeat(F.lit("x"), 8000).alias("text"))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    got = Scratch(spark, "batches").table(rows.mapInArrow(measure, "n long, size long"), "sizes").collect()
+    assert sum(r.n for r in got) == 3000
+    assert max(r.size for r in got) < 8 << 20
+    assert spark.conf.get(key) == before
+
+
+def test_words_of_the_tokenizer_go_with_the_task():
+    import public_tokenizers
+    import pyarrow as pa
+
+    from cartwheel.llm.packing import _pieces
+    from cartwheel.llm.scratch import worker_state
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [f"alpha beta w{i} once more" for i in range(500)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(500)), "text": texts})
+    out = pa.Table.from_batches(_pieces(path, 1024, 2, False)(iter([batch])))
+    assert out.num_rows == 500
+    assert not [k for k, v in worker_state()[f"encoder {path}"].items() if isinstance(v, dict) and (" once" in v or k in ("new", "old"))]
